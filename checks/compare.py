@@ -72,7 +72,8 @@ def main(sf_dir: str, keys: list[str]) -> int:
     from checks.queries import QUERIES
     from demandlens.session import spark_session
 
-    spark = spark_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark = spark_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+                          spark__driver__memory="14g", spark__driver__maxResultSize="6g")
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = views(sf_dir), 0
     for key in keys or QUERIES:

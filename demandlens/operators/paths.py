@@ -43,9 +43,17 @@ def path_column(schema: StructType, path: str, to: DataType) -> Column:
 
 def project(df: DataFrame, spec: Spec) -> DataFrame:
     """One flat select: every entry of ``spec``, renamed and typed."""
-    return df.select(*[path_column(df.schema, path, to).alias(name) for name, path, to in spec])
+    schema = df.schema
+    return df.select(*[path_column(schema, path, to).alias(name) for name, path, to in spec])
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Exactly the columns of ``schema``; those ``df`` lacks are typed NULLs."""
-    return project(df, [(f.name, f.name, f.dataType) for f in schema.fields])
+    """Exactly the columns of ``schema``; those ``df`` lacks are typed NULLs.
+
+    Written as SQL text: one call to the JVM instead of several per column.
+    """
+    present = set(df.columns)
+    return df.selectExpr(*[
+        f"try_cast({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in schema.fields
+    ])
