@@ -188,15 +188,20 @@ def extract_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.select("text_hash", F.size("entities").alias("entity_count"), _names("entities").alias("names"))
 
 
-def _find_terms(text: str) -> str:
+def term_finder(terms: tuple) -> entities.Extractor:
     """A stand-in for an external extractor: answers in JSON, input length limited."""
-    found = [{"name": t.name, "provider": t.provider} for t in feed.TERMS if t.pattern in text]
-    return json.dumps({"certifications": found})
+    known = [(t.pattern, t.name, t.provider) for t in terms]
+
+    def find(text: str) -> str:
+        found = [{"name": name, "provider": provider} for pattern, name, provider in known if pattern in text]
+        return json.dumps({"certifications": found})
+
+    return find
 
 
 def extract_callable(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = feed.table(spark, sf_dir, "documents")
-    staged = entities.extract_texts(entities.pending_texts(documents, "text"), _find_terms)
+    staged = entities.extract_texts(entities.pending_texts(documents, "text"), term_finder(feed.TERMS))
     return staged.select(
         "text_hash", F.size("entities").alias("entity_count"), _names("entities").alias("names"), "error"
     )

@@ -59,50 +59,41 @@ def json_entities(text: str | Column, schema: StructType = CERTIFICATION_JSON) -
     return F.coalesce(F.from_json(text, schema)[field.name], F.array().cast(field.dataType))
 
 
-def _segments(text: str, size: int | None, overlap: int) -> Iterator[str]:
-    """The whole text in pieces an extractor with an input limit can take.
+def _batch_runner(extractor: Extractor, segment_chars: int | None, overlap: int):
+    """The function that runs in the workers.
 
-    Neighbours share ``overlap`` characters, so a mention up to that length is
-    whole in at least one piece.
+    Its helpers are local, so that it travels there whole and the workers need
+    no copy of this package.
     """
-    if size is None or len(text) <= size:
-        yield text
-        return
-    for start in range(0, len(text) - overlap, size - overlap):
-        yield text[start:start + size]
-
-
-def _entities(answer: Any) -> list[dict[str, str | None]]:
-    """Entities in an extractor's answer: JSON text, its parsed form, or a list."""
-    if isinstance(answer, str):
-        answer = json.loads(answer)
-    if isinstance(answer, dict):
-        answer = answer.get("certifications") or []
-    found = []
-    for item in answer:
-        name, provider = item.get("name"), item.get("provider")
-        if name is not None:
-            found.append({"name": str(name).strip(),
-                          "provider": None if provider is None else str(provider).strip()})
-    return found
 
-
-def extract_texts(
-    texts: DataFrame, extractor: Extractor, segment_chars: int | None = 4000, overlap: int = 200,
-) -> DataFrame:
-    """Run ``extractor`` on ``texts`` (``text_hash``, ``text``); one STAGED row each.
-
-    An exception or an unreadable answer gives an empty list and its message in
-    ``error``; it never stops the job and never looks like "nothing found".
-    """
-    if segment_chars is not None and not 0 <= overlap < segment_chars:
-        raise ValueError("overlap must be smaller than segment_chars")
+    def segments(text: str) -> Iterator[str]:
+        """The whole text in pieces an extractor with an input limit can take.
+
+        Neighbours share ``overlap`` characters, so a mention up to that length
+        is whole in at least one piece.
+        """
+        if segment_chars is None or len(text) <= segment_chars:
+            yield text
+            return
+        for start in range(0, len(text) - overlap, segment_chars - overlap):
+            yield text[start:start + segment_chars]
+
+    def parsed(answer: Any) -> Iterator[dict[str, str | None]]:
+        """Entities in an answer: JSON text, its parsed form, or a list."""
+        if isinstance(answer, str):
+            answer = json.loads(answer)
+        if isinstance(answer, dict):
+            answer = answer.get("certifications") or []
+        for item in answer:
+            fields = {f: item.get(f) for f in ("name", "provider")}
+            if fields["name"] is not None:
+                yield {f: None if v is None else str(v).strip() for f, v in fields.items()}
 
     def one(text: str | None) -> tuple[list[dict[str, str | None]], str | None]:
         merged: dict[str, dict[str, str | None]] = {}
         try:
-            for piece in _segments(text, segment_chars, overlap) if text else ():
-                for entity in _entities(extractor(piece)):
+            for piece in segments(text) if text else ():
+                for entity in parsed(extractor(piece)):
                     merged.setdefault(entity["name"], entity)
         except Exception as failure:  # noqa: BLE001 - any extractor failure becomes data
             return [], f"{type(failure).__name__}: {failure}"
@@ -117,6 +108,20 @@ def extract_texts(
                 "error": pd.Series([error for _, error in answers], dtype=object),
             })
 
+    return run
+
+
+def extract_texts(
+    texts: DataFrame, extractor: Extractor, segment_chars: int | None = 4000, overlap: int = 200,
+) -> DataFrame:
+    """Run ``extractor`` on ``texts`` (``text_hash``, ``text``); one STAGED row each.
+
+    An exception or an unreadable answer gives an empty list and its message in
+    ``error``; it never stops the job and never looks like "nothing found".
+    """
+    if segment_chars is not None and not 0 <= overlap < segment_chars:
+        raise ValueError("overlap must be smaller than segment_chars")
+    run = _batch_runner(extractor, segment_chars, overlap)
     return texts.select("text_hash", "text").mapInPandas(run, schema=STAGED)
 
 

@@ -29,6 +29,10 @@ def overwrite(df: DataFrame, path: str, partition_by: str | None = None, touched
     )
 
 
+def append(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
 def overwrite_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Replace a catalog table, bucketed so that joins on ``key`` need no exchange."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
@@ -40,6 +44,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def _glob(spark: SparkSession, pattern: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath() for status in found or []]
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has committed."""
+    return bool(_glob(spark, f"{path}/_SUCCESS"))
+
+
 @dataclass(frozen=True)
 class Snapshots:
     """A table kept as complete states ``<base>/v=<n>``; readers take the newest.
@@ -53,11 +68,8 @@ class Snapshots:
     base: str
 
     def _versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        base = jvm.org.apache.hadoop.fs.Path(self.base)
-        fs = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, "v=*/_SUCCESS")) or []
-        return sorted(int(m.getPath().getParent().getName()[2:]) for m in marks)
+        marks = _glob(self.spark, f"{self.base}/v=*/_SUCCESS")
+        return sorted(int(m.getParent().getName()[2:]) for m in marks)
 
     def current(self) -> DataFrame | None:
         versions = self._versions()
