@@ -48,6 +48,7 @@ def summarize_with_median(
         *[F.max(c).alias(n) for n, c in highest.items()],
     )
     summary = buckets.groupBy(*keys).agg(
+        F.sum("_n").alias("_values"),
         *[F.sum(n).alias(n) for n in counts],
         *[F.min(n).alias(n) for n in lowest],
         *[F.max(n).alias(n) for n in highest],
@@ -70,4 +71,4 @@ def summarize_with_median(
         .where(2 * F.col("_upto") >= F.col("_values"))
         .groupBy(*keys).agg(F.min(value).alias(median))
     )
-    return summary.join(medians, keys, "left")
+    return summary.drop("_values").join(medians, keys, "left")

@@ -278,21 +278,27 @@ def filters_for(
     """``filters`` for several selections from one scan.
 
     The distinct (role, industry) pairs are the only thing read from the lines;
-    every block is a small aggregate over them.
+    every block is a small aggregate over them. Conditions are sums and the keys
+    are never NULL, so no block pushes a filter or an aggregate of its own into
+    the scan and all of them share one exchange.
     """
-    pairs = lines.groupBy("role_name", "industry").agg(F.count("*").alias("n"))
+    pairs = lines.groupBy(
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("role_name", "industry")]
+    ).agg(F.count("*").alias("n"))
     blocks = []
     for role, industry in selections:
         scoped = bool(industry) and industry != rules.ALL_INDUSTRIES
         options = _role_options(lines, taxonomy)
         if scoped:
             used = pairs.groupBy(F.col("role_name").alias("value")).agg(
-                F.max(F.col("industry") == industry).alias("used")
+                _any(F.col("industry") == industry).alias("used")
             )
             options = options.join(used.where("used"), "value", "left_semi")
-        offered = F.max(F.col("role_name") == role) if role else F.lit(True)
-        names = pairs.groupBy(F.col("industry").alias("value")).agg(offered.alias("offered"))
-        shown = names.where(F.col("offered") & (F.col("value") != ""))
+        offered = F.col("industry") != ""
+        if role:
+            offered = offered & (F.col("role_name") == role)
+        names = pairs.groupBy(F.col("industry").alias("value")).agg(_any(offered).alias("offered"))
+        shown = names.where("offered")
         listed = shown.select(
             "value", F.col("value").alias("label"),
             F.row_number().over(Window.orderBy("value")).alias("position"),
@@ -313,6 +319,11 @@ def filters_for(
     return result
 
 
+def _any(condition: Column) -> Column:
+    """Whether some counted pair meets ``condition``."""
+    return F.sum(F.when(condition, F.col("n")).otherwise(0)) > 0
+
+
 def _role_options(lines: DataFrame, taxonomy: rules.Roles) -> DataFrame:
     options = [
         F.struct(F.lit(i).alias("position"), F.lit(value).alias("value"), F.lit(label).alias("label"))

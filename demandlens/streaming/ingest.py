@@ -22,7 +22,7 @@ def stream_ingest(
     record: StructType = RECORD,
     spec: Spec | None = None,
     source: str = SOURCE_SYSTEM,
-    max_bytes_per_batch: str = "1t",
+    max_bytes_per_batch: int = 1 << 40,
 ) -> StreamingQuery:
     """Append everything new under ``landing`` to ``bronze``, then stop.
 
