@@ -33,15 +33,14 @@ from demandlens.sources.tables import overwrite, read_table  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 FROM_TABLES = [
     "bronze_flatten", "classify_role", "latest_posting", "scd1_upsert", "entity_extract",
-    "entity_staging", "extract_callable", "dim_companies", "dim_locations", "dim_skills", "dim_certs",
-    "bridge_job_skills", "fact_postings", "posting_lines", "posting_lines_star", "skill_daily",
-    "cert_daily", "role_daily", "insight_filters", "insight_skills", "insight_skills_cube",
-    "insight_metrics", "insight_certs", "insight_jobs", "insight_jobs_count", "measure_skill_window",
-    "measure_role_latest",
+    "extract_callable", "dim_companies", "dim_skills", "bridge_job_skills", "fact_postings",
+    "posting_lines", "posting_lines_star", "skill_daily", "cert_daily", "role_daily",
+    "insight_filters", "insight_skills", "insight_skills_cube", "insight_metrics", "insight_certs",
+    "insight_jobs", "measure_role_latest",
 ]
 
 
