@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 from typing import Any
 
 import pandas as pd
@@ -37,20 +39,26 @@ def text_hash(text: str | Column) -> Column:
 
 
 def dictionary_entities(text: str | Column, terms: tuple[Term, ...]) -> Column:
-    """Entities whose pattern occurs anywhere in ``text``; empty for NULL text."""
+    """Entities with a pattern that occurs anywhere in ``text``; empty for NULL text.
+
+    A concatenation of one-element arrays rather than a filter over an array, as
+    higher-order functions would keep the whole projection out of code generation.
+    """
     check_dictionary(terms)
     text = F.col(text) if isinstance(text, str) else text
+    patterns: dict[tuple[str, str | None], list[Column]] = {}
+    for term in terms:
+        patterns.setdefault((term.name, term.provider), []).append(text.contains(term.pattern))
+    nothing = F.array().cast(ENTITIES)
     hits = [
         F.when(
-            text.contains(t.pattern),
-            F.struct(F.trim(F.lit(t.name)).alias("name"),
-                     F.trim(F.lit(t.provider).cast("string")).alias("provider")),
-        )
-        for t in terms
+            reduce(or_, tests),
+            F.array(F.struct(F.lit(name.strip()).alias("name"),
+                             F.lit(provider and provider.strip()).cast("string").alias("provider"))),
+        ).otherwise(nothing)
+        for (name, provider), tests in patterns.items()
     ]
-    if not hits:
-        return F.array().cast(ENTITIES)
-    return F.array_distinct(F.array_compact(F.array(*hits)))
+    return F.concat(*hits) if hits else nothing
 
 
 def json_entities(text: str | Column, schema: StructType = CERTIFICATION_JSON) -> Column:
