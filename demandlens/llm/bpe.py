@@ -270,7 +270,7 @@ def bpe(
         using = encode.using
 
         def function(texts: list[bytes | None]) -> list:
-            found = encode([(t or b"").decode() for t in texts])
+            found = encode([(t or b"").decode(errors="replace") for t in texts])
             sha = hashlib.sha256
             decimal = using.decimals.__getitem__
             return [

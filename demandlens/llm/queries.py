@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandlens.llm import bpe
+from demandlens.llm import bpe, langid, line_index, simhash, wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(of: int):
+    """crc32 of the id as text, modulo ``of``; null ids count as 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % of, F.lit(0))
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -23,6 +29,78 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op1_bpe": op1_bpe}
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wu_manber.digest(wu_manber.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+    ))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_index.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash(table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, learn=remainder(4) != 2)
+    return langid.identify(docs, model).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected",
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
+    "op4_decontaminate": op4_decontaminate,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_simhash": op7_simhash,
+    "op9_language": op9_language,
+}
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op4_decontaminate"] = f"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+                             lambda w: w <> '') AS w FROM documents
+), b AS (
+  SELECT item_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+                              lambda w: w <> '') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+), dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM d, (SELECT DISTINCT n FROM bw) k, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n
+), hit AS (
+  SELECT doc_id, item_id, i, n FROM dw JOIN bw USING (n, s)
+), words AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM hit, unnest(range(i, i + n)) AS t(j) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLE["op6_line_dedup"] = f"""
+WITH line AS (
+  SELECT doc_id, i, l, {LOWER.format("trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+       unnest(ls) WITH ORDINALITY AS t(l, i)
+), many AS (
+  SELECT k, min(doc_id) AS first FROM line WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT doc_id, i, l, first IS NOT NULL AND first <> doc_id AS gone FROM line LEFT JOIN many USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

@@ -6,6 +6,7 @@ of the table, whatever their names, neither clash nor travel.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -43,12 +44,13 @@ def slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.Record
 
 def map_texts(
     df: DataFrame, keep: list[str], text: str, result: str,
-    make: Callable[[], Callable[[list[bytes | None]], list]], limit: int = SLICE_BYTES,
+    make: Callable[[], Callable[..., list]], limit: int = SLICE_BYTES, with_kept: bool = False,
 ) -> DataFrame:
     """``keep`` and the columns of ``result`` (DDL), one row for each row of ``df``.
 
     ``make()`` runs once in each task and returns the function from the UTF-8 texts
-    of a slice to the lists or arrays of the result's columns.
+    of a slice to the lists or arrays of the result's columns; ``with_kept`` gives it the
+    kept columns too.
     """
     rows = pick(df, *keep, text)
     extra = T.StructType.fromDDL(result)
@@ -64,7 +66,8 @@ def map_texts(
         function = make()
         for batch in batches:
             for part in slices(batch, at, limit):
-                made = function(part.column(at).cast(pa.large_binary()).to_pylist())
+                texts = part.column(at).cast(pa.large_binary()).to_pylist()
+                made = function(texts, part.columns[:at]) if with_kept else function(texts)
                 arrays = [*(part.column(i) for i in range(at)), *(
                     x if isinstance(x, pa.Array) else pa.array(x, type=to_arrow(f.dataType))
                     for x, f in zip(made, extra.fields, strict=True)
@@ -74,6 +77,14 @@ def map_texts(
     return rows.mapInArrow(run, schema)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows as files in the folder of spark.checkpoint.dir, which all executors share."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return df.checkpoint()
+
+
 def to_arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
