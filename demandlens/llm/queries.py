@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import bpe, chat, langid, licenses, line_index, simhash, wu_manber
+from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, simhash, wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, learn=remainder(4) != 2)
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontaminate": op4_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
+    "op8_minhash": op8_minhash,
     "op9_language": op9_language,
     "op10_chat": op10_chat,
 }
