@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, simhash, wu_manber
+from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, ppm, simhash, toxicity, wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"), remainder(10) != 0).select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
@@ -40,6 +46,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=remainder(3) != 1)
+    return toxicity.score(docs, model).select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_index.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -74,8 +86,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_ppm": op2_ppm,
     "op3_licenses": op3_licenses,
     "op4_decontaminate": op4_decontaminate,
+    "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
     "op8_minhash": op8_minhash,
