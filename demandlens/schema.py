@@ -7,58 +7,101 @@ from pyspark.sql.types import (
     StringType, StructField, StructType, TimestampType,
 )
 
-_TYPES: dict[str, DataType] = {
-    "string": StringType(), "long": LongType(), "int": IntegerType(),
-    "double": DoubleType(), "boolean": BooleanType(), "date": DateType(),
-    "timestamp": TimestampType(), "strings": ArrayType(StringType()),
-}
-
-
-def _fields(**columns: str) -> list[StructField]:
-    """``type="name name ..."`` groups, in the order given."""
-    return [
-        StructField(name, _TYPES[kind.rstrip("_0123456789")])
-        for kind, names in columns.items() for name in names.split()
-    ]
-
-
 # --- Fixed values: field names and types of the incoming JSON record ---------
-LOCATION = StructType(_fields(
-    long="id",
-    string="name type feature_code admin1_name admin1_code admin2_name continent"
-           " display_name country_name",
-))
-COMPANY = StructType(_fields(
-    string="id name domain url linkedin_url logo industry", int="industry_id",
-    string_2="country country_code city postal_code", int_2="employee_count",
-    string_3="employee_count_range", int_3="founded_year",
-    double="annual_revenue_usd", string_4="annual_revenue_usd_readable",
-    double_2="total_funding_usd",
-    string_5="funding_stage last_funding_round_date last_funding_amount",
-    boolean="is_recruiting_agency",
-    string_6="publicly_traded_symbol publicly_traded_exchange",
-    int_4="alexa_ranking num_jobs num_jobs_last_30_days num_technologies",
-    string_7="apollo_id linkedin_id yc_batch",
-    strings="technology_slugs company_keywords company_tags possible_domains",
-    string_8="long_description",
-))
+LOCATION = StructType([
+    StructField("id", LongType()),
+    StructField("name", StringType()),
+    StructField("type", StringType()),
+    StructField("feature_code", StringType()),
+    StructField("admin1_name", StringType()),
+    StructField("admin1_code", StringType()),
+    StructField("admin2_name", StringType()),
+    StructField("continent", StringType()),
+    StructField("display_name", StringType()),
+    StructField("country_name", StringType()),
+])
+COMPANY = StructType([
+    StructField("id", StringType()),
+    StructField("name", StringType()),
+    StructField("domain", StringType()),
+    StructField("url", StringType()),
+    StructField("linkedin_url", StringType()),
+    StructField("logo", StringType()),
+    StructField("industry", StringType()),
+    StructField("industry_id", IntegerType()),
+    StructField("country", StringType()),
+    StructField("country_code", StringType()),
+    StructField("city", StringType()),
+    StructField("postal_code", StringType()),
+    StructField("employee_count", IntegerType()),
+    StructField("employee_count_range", StringType()),
+    StructField("founded_year", IntegerType()),
+    StructField("annual_revenue_usd", DoubleType()),
+    StructField("annual_revenue_usd_readable", StringType()),
+    StructField("total_funding_usd", DoubleType()),
+    StructField("funding_stage", StringType()),
+    StructField("last_funding_round_date", StringType()),
+    StructField("last_funding_amount", StringType()),
+    StructField("is_recruiting_agency", BooleanType()),
+    StructField("publicly_traded_symbol", StringType()),
+    StructField("publicly_traded_exchange", StringType()),
+    StructField("alexa_ranking", IntegerType()),
+    StructField("num_jobs", IntegerType()),
+    StructField("num_jobs_last_30_days", IntegerType()),
+    StructField("num_technologies", IntegerType()),
+    StructField("apollo_id", StringType()),
+    StructField("linkedin_id", StringType()),
+    StructField("yc_batch", StringType()),
+    StructField("technology_slugs", ArrayType(StringType())),
+    StructField("company_keywords", ArrayType(StringType())),
+    StructField("company_tags", ArrayType(StringType())),
+    StructField("possible_domains", ArrayType(StringType())),
+    StructField("long_description", StringType()),
+])
 RECORD = StructType([
-    *_fields(
-        long="id", string="job_title normalized_title seniority", date="date_posted",
-        timestamp="discovered_at closed_at", boolean="reposted", date_2="date_reposted",
-        boolean_2="has_blurred_data easy_apply", strings="employment_statuses",
-        string_2="url source_url final_url location short_location long_location",
-        double="latitude longitude", string_3="postal_code state_code country country_code",
-        strings_2="country_codes countries cities continents", boolean_3="remote hybrid",
-    ),
+    StructField("id", LongType()),
+    StructField("job_title", StringType()),
+    StructField("normalized_title", StringType()),
+    StructField("seniority", StringType()),
+    StructField("date_posted", DateType()),
+    StructField("discovered_at", TimestampType()),
+    StructField("closed_at", TimestampType()),
+    StructField("reposted", BooleanType()),
+    StructField("date_reposted", DateType()),
+    StructField("has_blurred_data", BooleanType()),
+    StructField("easy_apply", BooleanType()),
+    StructField("employment_statuses", ArrayType(StringType())),
+    StructField("url", StringType()),
+    StructField("source_url", StringType()),
+    StructField("final_url", StringType()),
+    StructField("location", StringType()),
+    StructField("short_location", StringType()),
+    StructField("long_location", StringType()),
+    StructField("latitude", DoubleType()),
+    StructField("longitude", DoubleType()),
+    StructField("postal_code", StringType()),
+    StructField("state_code", StringType()),
+    StructField("country", StringType()),
+    StructField("country_code", StringType()),
+    StructField("country_codes", ArrayType(StringType())),
+    StructField("countries", ArrayType(StringType())),
+    StructField("cities", ArrayType(StringType())),
+    StructField("continents", ArrayType(StringType())),
+    StructField("remote", BooleanType()),
+    StructField("hybrid", BooleanType()),
     StructField("locations", ArrayType(LOCATION)),
-    *_fields(
-        string="salary_string salary_currency",
-        double="min_annual_salary max_annual_salary min_annual_salary_usd"
-               " max_annual_salary_usd avg_annual_salary_usd",
-        strings="technology_slugs keyword_slugs",
-        string_2="description company company_domain",
-    ),
+    StructField("salary_string", StringType()),
+    StructField("salary_currency", StringType()),
+    StructField("min_annual_salary", DoubleType()),
+    StructField("max_annual_salary", DoubleType()),
+    StructField("min_annual_salary_usd", DoubleType()),
+    StructField("max_annual_salary_usd", DoubleType()),
+    StructField("avg_annual_salary_usd", DoubleType()),
+    StructField("technology_slugs", ArrayType(StringType())),
+    StructField("keyword_slugs", ArrayType(StringType())),
+    StructField("description", StringType()),
+    StructField("company", StringType()),
+    StructField("company_domain", StringType()),
     StructField("company_object", COMPANY),
 ])
 # Output names that do not follow the prefix rule below.
