@@ -19,6 +19,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -215,7 +216,7 @@ class Encoder:
         self.pieces, self.ids = Pieces(self.using.split), np.zeros(0, np.int32)
         self.starts, self.kept = np.zeros(1, np.int64), 0
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.pieces) > REMEMBERED or self.kept > REMEMBERED_CHARS:
             self.forget()
         number, numbers = self.pieces.__getitem__, []
@@ -236,13 +237,13 @@ class Encoder:
             new.clear()
         out = []
         for row in numbers:
-            found: list[int] = []
+            found = [np.zeros(0, np.int32)]
             for at in range(0, len(row), STEP):
                 words = np.frombuffer(row[at:at + STEP], np.int32)
                 begin, length = self.starts[words], self.starts[words + 1] - self.starts[words]
                 shift = begin - (np.cumsum(length) - length)
-                found += self.ids[np.repeat(shift, length) + np.arange(int(length.sum()))].tolist()
-            out.append(found)
+                found.append(self.ids[np.repeat(shift, length) + np.arange(int(length.sum()))])
+            out.append(np.concatenate(found))
         return out
 
 
@@ -271,14 +272,14 @@ def bpe(
 
         def function(texts: list[bytes | None]) -> list:
             found = encode([(t or b"").decode(errors="replace") for t in texts])
-            sha = hashlib.sha256
-            decimal = using.decimals.__getitem__
-            return [
-                *([found] if ids else []),
-                [len(x) for x in found],
-                [sha(" ".join(map(decimal, x)).encode()).hexdigest() for x in found],
-                [sha(using.decode(x)).hexdigest() for x in found],
-            ]
+            decimal, sha, digests = using.decimals.__getitem__, hashlib.sha256, []
+            for row in found:  # one text's ids at a time as Python objects
+                own = row.tolist()
+                digests.append((sha(" ".join(map(decimal, own)).encode()).hexdigest(), sha(using.decode(own)).hexdigest()))
+            sizes = [len(x) for x in found]
+            column = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.concatenate(found) if found else [], pa.int32()))
+            return [*([column.cast(pa.list_(pa.int32()))] if ids else []), sizes, *map(list, zip(*digests, strict=True))]
 
         return function
 

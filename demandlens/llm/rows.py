@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one call of a task's function gets, beyond a single longer text.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
