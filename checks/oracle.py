@@ -254,6 +254,19 @@ WHERE o_orderstatus <> 'P'""",
     "classify_role": BASE + "SELECT job_id, role_name FROM keyed",
     "latest_posting": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "latest_version": """WITH v AS (SELECT l_orderkey AS job_id, date_trunc('month', l_shipdate)::DATE AS discovered,
+           (l_partkey * 1000 + l_suppkey * 10 + l_linenumber)::BIGINT AS version FROM lineitem)
+SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY discovered DESC, version DESC) = 1""",
+    "scd1_upsert_nulls": """WITH stored AS (
+  SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment FROM customer WHERE c_custkey % 5 <> 0
+), updates AS (
+  SELECT c_custkey AS id, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS segment FROM customer WHERE c_custkey % 7 <> 0
+)
+SELECT coalesce(s.id, u.id) AS company_id, CASE WHEN u.id IS NOT NULL THEN u.segment ELSE s.segment END AS industry,
+       CASE WHEN s.id IS NULL THEN DATE '2001-08-01' ELSE DATE '2001-01-01' END AS created_date,
+       CASE WHEN s.id IS NULL OR (u.id IS NOT NULL AND u.segment IS DISTINCT FROM s.segment) THEN DATE '2001-08-01'
+            ELSE DATE '2001-01-01' END AS updated_date
+FROM stored s FULL JOIN updates u ON s.id = u.id""",
     "scd1_upsert": """WITH stored AS (SELECT c_custkey AS id, c_name, c_mktsegment AS segment FROM customer
                 WHERE c_mktsegment <> 'MACHINERY'),
 updates AS (SELECT c_custkey AS id, c_name, CASE WHEN c_acctbal > 5000 THEN 'MOVED' ELSE c_mktsegment END AS segment
@@ -274,7 +287,10 @@ FROM stored s FULL JOIN updates u ON s.id = u.id""",
     + " SELECT key AS text_hash, entity_count::INTEGER AS entity_count, names FROM found",
     "extract_callable": f"WITH {TERMS}, {DISTINCT_TEXTS}, " + FOUND.format(key="text_hash", source="texts")
     + " SELECT key AS text_hash, entity_count::INTEGER AS entity_count, names, NULL::VARCHAR AS error FROM found",
-    "json_entities": "SELECT event_id, TRY_CAST(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) AS BIGINT) AS k FROM events",
+    "json_entities": """SELECT event_id, whole * 2::INTEGER AS entity_count,
+       CASE whole WHEN 1 THEN array_to_string(list_sort([event_type, 'other']), '; ') ELSE '' END AS names,
+       CASE whole WHEN 1 THEN regexp_extract(props, '"k": *(-?[0-9]+)', 1) || '; -' ELSE '' END AS providers
+FROM (SELECT *, (event_id % 7 <> 0 AND event_id % 5 <> 0 AND event_id % 3 <> 0)::INTEGER AS whole FROM events)""",
     "dim_companies": BASE + "SELECT * FROM companies",
     "dim_locations": BASE + "SELECT * FROM locations",
     "dim_roles": BASE + """SELECT md5(r.name) AS role_id, r.name, count(job_id) AS postings
@@ -366,6 +382,8 @@ SELECT role_name, """ + ", ".join(
     ) + " FROM snapshots GROUP BY role_name",
     "measure_postings": BASE + """SELECT role_name, seniority, industry, count(DISTINCT job_id) AS total_postings
 FROM lines GROUP BY ALL""",
+    "measure_repeated": """SELECT l_returnflag AS role_name, count(DISTINCT l_orderkey) AS total_postings
+FROM lineitem GROUP BY l_returnflag""",
     "orphan_locations": BASE + """SELECT location_id, count(*) AS facts FROM keyed
 WHERE location IS NOT NULL AND location_id NOT IN (SELECT location_id FROM keyed WHERE loc_continent = 'ASIA')
 GROUP BY location_id""",

@@ -14,9 +14,11 @@ from demandlens.functions.keys import mart_key, surrogate_key
 from demandlens.functions.text import role_name, slug_to_name
 from demandlens.operators import entities
 from demandlens.operators.latest import latest_by_key
+from demandlens.operators.paths import conform
 from demandlens.operators.upsert import scd1_upsert
 from demandlens.plans import dims, facts, insight, marts, quality, semantic
 from demandlens.plans import lines as lines_plan
+from demandlens.schema import BRONZE
 from demandlens.sources import landing
 from demandlens.sources import order_feed as feed
 
@@ -132,6 +134,35 @@ def latest_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select("user_id", "event_id", "event_type", "value")
 
 
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as versions of one posting, with ties in every column of the order but the last."""
+    line = feed.table(spark, sf_dir, "lineitem")
+    day = F.col("l_shipdate").cast("timestamp")
+    month = F.date_trunc("month", day)
+    bronze = conform(line.select(
+        F.col("l_orderkey").alias("job_id"), month.alias("discovered_at"), month.alias("_raw_ingested_at"),
+        month.alias("_bronze_processed_at"), F.col("l_returnflag").alias("job_title"),
+        (F.col("l_partkey") * 1000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).cast("long").alias("_row_hash"),
+    ), BRONZE)
+    newest = facts.latest_postings(bronze)
+    return newest.select("job_id", F.to_date("discovered_at").alias("discovered"), F.col("_row_hash").alias("version"))
+
+
+def upsert_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes that are NULL in the stored state, in the update, or in both."""
+    key = F.col("c_custkey")
+    then = F.lit(datetime(2001, 1, 1)).cast("timestamp")
+    customer = feed.table(spark, sf_dir, "customer")
+    stored = customer.where(key % 5 != 0).select(
+        key.alias("company_id"), F.when(key % 2 == 0, F.col("c_mktsegment")).alias("industry"),
+        then.alias("created_date"), then.alias("updated_date"),
+    )
+    updates = customer.where(key % 7 != 0).select(
+        key.alias("company_id"), F.when(key % 3 != 0, F.col("c_mktsegment")).alias("industry"))
+    merged = scd1_upsert(stored, updates, "company_id", ["industry"], datetime(2001, 8, 1))
+    return merged.withColumns({c: F.to_date(c) for c in ("created_date", "updated_date")})
+
+
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored customers outside one segment; updates for those with a balance, of
     which the richer ones changed segment."""
@@ -189,7 +220,7 @@ def extract_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_finder(terms: tuple) -> entities.Extractor:
-    """A stand-in for an external extractor: answers in JSON, input length limited."""
+    """A stand-in for an external extractor; it answers in JSON."""
     known = [(t.pattern, t.name, t.provider) for t in terms]
 
     def find(text: str) -> str:
@@ -208,8 +239,20 @@ def extract_callable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = feed.table(spark, sf_dir, "events")
-    return events.select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
+    """Answers of an extractor, some cut off, some of another shape, some absent."""
+    events, key = feed.table(spark, sf_dir, "events"), F.col("event_id")
+    first = F.concat(F.lit('{"name":"'), "event_type", F.lit('","provider":"'), F.get_json_object("props", "$.k"), F.lit('"}'))
+    answer = (
+        F.when(key % 7 == 0, F.lit(None).cast("string"))
+        .when(key % 5 == 0, F.concat(F.lit('{"certifications":['), first))
+        .when(key % 3 == 0, F.lit('{"certifications":[]}'))
+        .otherwise(F.concat(F.lit('{"certifications":['), first, F.lit(',{"name":"other"}]}')))
+    )
+    found = events.select("event_id", entities.json_entities(answer).alias("found"))
+    providers = F.array_join(F.transform("found", lambda e: F.coalesce(e["provider"], F.lit("-"))), "; ")
+    return found.select(
+        "event_id", F.size("found").alias("entity_count"), _names("found").alias("names"), providers.alias("providers"),
+    )
 
 
 # --- star schema ---------------------------------------------------------------------
@@ -398,6 +441,13 @@ def measure_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.measure(rows, "job_posting", ["role_name", "seniority", "industry"])
 
 
+def measure_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order line: the declared measure counts orders all the same."""
+    line = feed.table(spark, sf_dir, "lineitem")
+    rows = line.select(F.col("l_orderkey").alias("job_id"), F.col("l_returnflag").alias("role_name"))
+    return semantic.measure(rows, "job_posting", ["role_name"])
+
+
 def orphan_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Location keys of all postings that the locations seen in one region lack."""
     rows = latest(spark, sf_dir, OWNER)
@@ -412,6 +462,8 @@ QUERIES: dict[str, Query] = {
     "slug_name": slug_name,
     "classify_role": classify_role,
     "latest_posting": latest_posting,
+    "latest_version": latest_version,
+    "scd1_upsert_nulls": upsert_nulls,
     "scd1_upsert": upsert,
     "entity_extract": entity_extract,
     "entity_staging": entity_staging,
@@ -448,5 +500,6 @@ QUERIES: dict[str, Query] = {
     "measure_skill_window": measure_skill_window,
     "measure_role_latest": measure_role_latest,
     "measure_postings": measure_postings,
+    "measure_repeated": measure_repeated,
     "orphan_locations": orphan_locations,
 }

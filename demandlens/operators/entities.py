@@ -1,7 +1,7 @@
 """Named entities in free text: dictionary lookup, or any Python extractor.
 
-Entities are ``array<struct<name, provider>>``. The dictionary form is a plain
-column expression. A callable runs through ``mapInPandas`` once per distinct
+Entities are ``array<struct<name, provider>>``. The dictionary form is a column
+expression. A callable runs through ``mapInPandas`` once per distinct
 text, reports failures in an ``error`` column, and its results are staged by
 text hash so that later runs only see new text and earlier failures.
 """
@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from functools import reduce
-from operator import or_
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -41,24 +40,43 @@ def text_hash(text: str | Column) -> Column:
 def dictionary_entities(text: str | Column, terms: tuple[Term, ...]) -> Column:
     """Entities with a pattern that occurs anywhere in ``text``; empty for NULL text.
 
-    A concatenation of one-element arrays rather than a filter over an array, as
-    higher-order functions would keep the whole projection out of code generation.
+    One pass over each text whatever the number of terms: all patterns are one
+    automaton, in an Arrow UDF. Entities come in the order of the terms.
     """
     check_dictionary(terms)
-    text = F.col(text) if isinstance(text, str) else text
-    patterns: dict[tuple[str, str | None], list[Column]] = {}
-    for term in terms:
-        patterns.setdefault((term.name, term.provider), []).append(text.contains(term.pattern))
-    nothing = F.array().cast(ENTITIES)
-    hits = [
-        F.when(
-            reduce(or_, tests),
-            F.array(F.struct(F.lit(name.strip()).alias("name"),
-                             F.lit(provider and provider.strip()).cast("string").alias("provider"))),
-        ).otherwise(nothing)
-        for (name, provider), tests in patterns.items()
-    ]
-    return F.concat(*hits) if hits else nothing
+    if not terms:
+        return F.array().cast(ENTITIES)
+    return _finder(terms)(F.col(text) if isinstance(text, str) else text)
+
+
+def _finder(terms: tuple[Term, ...]):
+    clean = [(t.name.strip(), t.provider and t.provider.strip()) for t in terms]
+    order = {entity: i for i, entity in enumerate(dict.fromkeys(clean))}
+    entities = list(order)
+    patterns: dict[str, set[int]] = {}
+    for term, entity in zip(terms, clean, strict=True):
+        patterns.setdefault(term.pattern, set()).add(order[entity])
+    kind = pa.list_(pa.struct([("name", pa.string()), ("provider", pa.string())]))
+    built: list = []
+
+    def find(texts: pa.Array) -> pa.Array:
+        if not built:
+            import ahocorasick
+
+            built.append(ahocorasick.Automaton())
+            for pattern, found in patterns.items():
+                if pattern:
+                    built[0].add_word(pattern, found)
+            built[0].make_automaton()
+        always = patterns.get("", set())
+        search = built[0].iter if len(built[0]) else lambda text: ()
+        rows = []
+        for text in texts.to_pylist():
+            found = set() if text is None else set(always).union(*(i for _, i in search(text)))
+            rows.append([entities[i] for i in sorted(found)])
+        return pa.array(rows, kind)
+
+    return F.arrow_udf(find, returnType=ENTITIES)
 
 
 def json_entities(text: str | Column, schema: StructType = CERTIFICATION_JSON) -> Column:
@@ -67,25 +85,13 @@ def json_entities(text: str | Column, schema: StructType = CERTIFICATION_JSON) -
     return F.coalesce(F.from_json(text, schema)[field.name], F.array().cast(field.dataType))
 
 
-def _batch_runner(extractor: Extractor, segment_chars: int | None, overlap: int):
+def _batch_runner(extractor: Extractor):
     """The function that runs in the workers.
 
     Its helpers are local, so that it travels there whole and the workers need
     no copy of this package.
     """
 
-    def segments(text: str) -> Iterator[str]:
-        """The whole text in pieces an extractor with an input limit can take.
-
-        Neighbours share ``overlap`` characters, so a mention up to that length
-        is whole in at least one piece.
-        """
-        if segment_chars is None or len(text) <= segment_chars:
-            yield text
-            return
-        for start in range(0, len(text) - overlap, segment_chars - overlap):
-            yield text[start:start + segment_chars]
-
     def parsed(answer: Any) -> Iterator[dict[str, str | None]]:
         """Entities in an answer: JSON text, its parsed form, or a list."""
         if isinstance(answer, str):
@@ -100,9 +106,8 @@ def _batch_runner(extractor: Extractor, segment_chars: int | None, overlap: int)
     def one(text: str | None) -> tuple[list[dict[str, str | None]], str | None]:
         merged: dict[str, dict[str, str | None]] = {}
         try:
-            for piece in segments(text) if text else ():
-                for entity in parsed(extractor(piece)):
-                    merged.setdefault(entity["name"], entity)
+            for entity in parsed(extractor(text)) if text else ():
+                merged.setdefault(entity["name"], entity)
         except Exception as failure:  # noqa: BLE001 - any extractor failure becomes data
             return [], f"{type(failure).__name__}: {failure}"
         return list(merged.values()), None
@@ -119,18 +124,14 @@ def _batch_runner(extractor: Extractor, segment_chars: int | None, overlap: int)
     return run
 
 
-def extract_texts(
-    texts: DataFrame, extractor: Extractor, segment_chars: int | None = 4000, overlap: int = 200,
-) -> DataFrame:
+def extract_texts(texts: DataFrame, extractor: Extractor) -> DataFrame:
     """Run ``extractor`` on ``texts`` (``text_hash``, ``text``); one STAGED row each.
 
-    An exception or an unreadable answer gives an empty list and its message in
-    ``error``; it never stops the job and never looks like "nothing found".
+    It gets whole texts; one with an input limit splits them by itself. An exception
+    or an unreadable answer gives an empty list and its message in ``error``; it
+    never stops the job and never looks like "nothing found".
     """
-    if segment_chars is not None and not 0 <= overlap < segment_chars:
-        raise ValueError("overlap must be smaller than segment_chars")
-    run = _batch_runner(extractor, segment_chars, overlap)
-    return texts.select("text_hash", "text").mapInPandas(run, schema=STAGED)
+    return texts.select("text_hash", "text").mapInPandas(_batch_runner(extractor), schema=STAGED)
 
 
 def pending_texts(docs: DataFrame, text: str, staged: DataFrame | None = None) -> DataFrame:
@@ -154,9 +155,11 @@ def staged_entities(docs: DataFrame, key: str, text: str, staged: DataFrame) ->
     """``(key, cert_name, cert_provider)`` for documents with staged results.
 
     Texts without entities are dropped before the join; a text shared by very
-    many documents is a hot key of an inner join, which AQE splits.
+    many documents is a hot key of an inner join, which AQE splits. Of several
+    successful results of a text one counts.
     """
     found = staged.where(F.col("error").isNull() & (F.size("entities") > 0))
+    found = found.groupBy("text_hash").agg(F.max("entities").alias("entities"))
     return (
         docs.select(key, text_hash(text).alias("text_hash"))
         .join(found.select("text_hash", "entities"), "text_hash")

@@ -13,15 +13,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS_PER_DOUBLING = 1024
+#: Beyond the logarithm of the smallest positive double, so that every bucket number is positive.
+LOWEST_DOUBLING = 1075
 
 
-def value_bucket(value: str | Column) -> Column:
+def value_bucket(value: str) -> Column:
     """A coarse number that never decreases when ``value`` grows.
 
-    Steps are about 0.07 percent of the value, so doubles of any size fall into
-    a bounded number of buckets.
+    Steps are about 0.07 percent of the value at every magnitude, so doubles of any
+    size fall into a bounded number of buckets. Zero has a bucket of its own.
     """
-    return F.rint(F.signum(value) * F.log1p(F.abs(value)) * (BUCKETS_PER_DOUBLING / 0.6931471805599453))
+    step = F.floor(F.log2(F.abs(value)) * BUCKETS_PER_DOUBLING) + BUCKETS_PER_DOUBLING * LOWEST_DOUBLING
+    return F.when(F.col(value) == 0, F.lit(0.0)).otherwise(F.signum(value) * step)
 
 
 def summarize_with_median(
@@ -36,8 +39,7 @@ def summarize_with_median(
     """Per ``keys``: the lower median of ``value``, counts, minima and maxima.
 
     The lower median is the smallest value with at least half of the non-NULL
-    values at or below it; NULL for a group without values. ``keys`` must have
-    few distinct combinations (roles, periods): one row per group is broadcast.
+    values at or below it; NULL for a group without values.
     """
     counts, lowest, highest = counts or {}, lowest or {}, highest or {}
     valued = rows.withColumn("_bucket", value_bucket(value))
@@ -62,7 +64,7 @@ def summarize_with_median(
     )
     inside = (
         valued.select(*keys, value, "_bucket")
-        .join(F.broadcast(middle), [*keys, "_bucket"])
+        .join(middle, [*keys, "_bucket"])
         .groupBy(*keys, value, "_before", "_values").agg(F.count("*").alias("_n"))
     )
     position = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys).orderBy(value))

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, IntegralType, StringType, StructType
 
 from demandlens.schema import Spec
 
+LOST = "array<struct<name:string,value:string>>"
+
 
 def path_type(schema: DataType, path: str) -> DataType | None:
     """Type at the end of ``path``, or None where the schema has no such path."""
@@ -26,19 +28,45 @@ def path_type(schema: DataType, path: str) -> DataType | None:
     return schema
 
 
+def path_value(path: str) -> Column:
+    """Value at ``path`` as it is; the schema must have the path."""
+    head, *steps = path.split(".")
+    value = F.col(head)
+    for step in steps:
+        value = F.get(value, int(step)) if step.isdigit() else value.getField(step)
+    return value
+
+
+def converted(value: Column, kind: DataType, to: DataType) -> Column:
+    """``value`` as type ``to``, NULL where it does not convert.
+
+    Text like ``12.0`` is a whole number too: it goes by way of a decimal.
+    """
+    plain = value.try_cast(to)
+    if isinstance(to, IntegralType) and isinstance(kind, StringType):
+        return F.coalesce(plain, value.try_cast(DecimalType(38, 9)).try_cast(to))
+    return plain
+
+
 def path_column(schema: StructType, path: str, to: DataType) -> Column:
     """Value at ``path`` as type ``to``.
 
     NULL for a path the schema lacks, a position past the end of an array, and a
     value that does not convert.
     """
-    if path_type(schema, path) is None:
-        return F.lit(None).cast(to)
-    head, *steps = path.split(".")
-    value = F.col(head)
-    for step in steps:
-        value = F.get(value, int(step)) if step.isdigit() else value.getField(step)
-    return value.try_cast(to)
+    kind = path_type(schema, path)
+    return F.lit(None).cast(to) if kind is None else converted(path_value(path), kind, to)
+
+
+def lost_values(schema: StructType, spec: Spec) -> Column:
+    """``(name, value)`` of every entry of ``spec`` whose text does not convert."""
+    found = [
+        F.when(path_value(path).isNotNull() & path_column(schema, path, to).isNull(),
+               F.struct(F.lit(name).alias("name"), path_value(path).alias("value")))
+        for name, path, to in spec
+        if isinstance(path_type(schema, path), StringType) and not isinstance(to, StringType)
+    ]
+    return F.array_compact(F.array(*found)) if found else F.array().cast(LOST)
 
 
 def project(df: DataFrame, spec: Spec) -> DataFrame:

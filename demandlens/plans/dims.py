@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens import rules
@@ -70,14 +70,13 @@ def skills(latest: DataFrame, at: datetime | None = None) -> DataFrame:
 
     ``max`` picks that, as the two category names sort that way.
     """
-    tagged = [
-        latest.select(F.explode(column).alias("slug"), F.lit(category).alias("category"))
-        for column, category in (
-            ("technology_slugs", rules.TECHNOLOGY), ("keyword_slugs", rules.METHODOLOGY),
-        )
-    ]
+    def tagged(column: str, category: str) -> Column:
+        named = F.transform(column, lambda slug: F.struct(slug.alias("slug"), F.lit(category).alias("category")))
+        return F.coalesce(named, F.array().cast("array<struct<slug:string,category:string>>"))
+
+    both = F.concat(tagged("technology_slugs", rules.TECHNOLOGY), tagged("keyword_slugs", rules.METHODOLOGY))
     slugs = (
-        tagged[0].unionByName(tagged[1])
+        latest.select(F.inline(both))
         .where(F.col("slug").isNotNull())
         .groupBy(F.lower("slug").alias("slug"))
         .agg(F.max("category").alias("category"))

@@ -277,59 +277,58 @@ def filters_for(
 ) -> DataFrame:
     """``filters`` for several selections from one scan.
 
-    The distinct (role, industry) pairs are the only thing read from the lines;
-    every block is a small aggregate over them. Conditions are sums and the keys
-    are never NULL, so no block pushes a filter or an aggregate of its own into
-    the scan and all of them share one exchange.
+    The distinct (role, industry) pairs are the only thing read from the lines. Each
+    pair unfolds into the selections and the two kinds of values, and one small
+    aggregate says which values are offered, whatever the number of selections.
     """
-    pairs = lines.groupBy(
+    pairs = lines.select(
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("role_name", "industry")]
-    ).agg(F.count("*").alias("n"))
-    blocks = []
-    for role, industry in selections:
-        scoped = bool(industry) and industry != rules.ALL_INDUSTRIES
-        options = _role_options(lines, taxonomy)
-        if scoped:
-            used = pairs.groupBy(F.col("role_name").alias("value")).agg(
-                _any(F.col("industry") == industry).alias("used")
-            )
-            options = options.join(used.where("used"), "value", "left_semi")
-        offered = F.col("industry") != ""
-        if role:
-            offered = offered & (F.col("role_name") == role)
-        names = pairs.groupBy(F.col("industry").alias("value")).agg(_any(offered).alias("offered"))
-        shown = names.where("offered")
-        listed = shown.select(
-            "value", F.col("value").alias("label"),
-            F.row_number().over(Window.orderBy("value")).alias("position"),
-        )
-        first = lines.sparkSession.range(1).select(
-            F.lit(rules.ALL_INDUSTRIES).alias("value"), F.lit(rules.ALL_INDUSTRIES_LABEL).alias("label"),
-            F.lit(0).alias("position"),
-        )
-        for kind, block in (("role", options), ("industry", first.unionByName(listed))):
-            blocks.append(block.select(
-                F.lit(role).cast("string").alias("for_role"),
-                F.lit(industry).cast("string").alias("for_industry"),
-                F.lit(kind).alias("kind"), "position", "value", "label",
-            ))
-    result = blocks[0]
-    for block in blocks[1:]:
-        result = result.unionByName(block)
-    return result
-
-
-def _any(condition: Column) -> Column:
-    """Whether some counted pair meets ``condition``."""
-    return F.sum(F.when(condition, F.col("n")).otherwise(0)) > 0
+    ).distinct()
+    asked = F.array(*[
+        F.struct(F.lit(i).alias("at"), F.lit(role or None).cast("string").alias("role"),
+                 F.lit(None if industry == rules.ALL_INDUSTRIES else industry or None).cast("string").alias("industry"))
+        for i, (role, industry) in enumerate(selections)
+    ])
+    name, industry = F.col("role_name"), F.col("industry")
+    wanted = pairs.select(name, industry, F.explode(asked).alias("s"))
+    kinds = F.array(
+        F.struct(F.lit("role").alias("kind"), name.alias("value"), (industry == F.col("s.industry")).alias("ok")),
+        F.struct(F.lit("industry").alias("kind"), industry.alias("value"),
+                 ((industry != "") & (F.col("s.role").isNull() | (name == F.col("s.role")))).alias("ok")),
+    )
+    offered = (
+        wanted.select(F.col("s.at").alias("at"), F.inline(kinds))
+        .where("ok").select("at", "kind", "value").distinct()
+    )
+    # Constant rows: every role, and the entry for all industries, of every selection.
+    constant = lines.sparkSession.range(1).select(F.inline(asked))
+    roles = constant.select("at", F.col("industry").isNull().alias("free"), F.inline(_options(taxonomy)))
+    kept = roles.join(offered.where("kind = 'role'").select("at", "value", F.lit(True).alias("used")), ["at", "value"], "left")
+    kept = kept.where(F.col("free") | F.col("used")).select("at", F.lit("role").alias("kind"), "position", "value", "label")
+    order = Window.partitionBy("at").orderBy("value")
+    listed = offered.where("kind = 'industry'").select(
+        "at", "kind", F.row_number().over(order).alias("position"), "value", F.col("value").alias("label"),
+    )
+    first = constant.select(
+        "at", F.lit("industry").alias("kind"), F.lit(0).alias("position"),
+        F.lit(rules.ALL_INDUSTRIES).alias("value"), F.lit(rules.ALL_INDUSTRIES_LABEL).alias("label"),
+    )
+    given = F.array(*[
+        F.struct(F.lit(role).cast("string").alias("for_role"), F.lit(industry).cast("string").alias("for_industry"))
+        for role, industry in selections
+    ])
+    return kept.unionByName(listed).unionByName(first).select(
+        F.get(given, F.col("at")).getField("for_role").alias("for_role"),
+        F.get(given, F.col("at")).getField("for_industry").alias("for_industry"),
+        "kind", "position", "value", "label",
+    )
 
 
-def _role_options(lines: DataFrame, taxonomy: rules.Roles) -> DataFrame:
-    options = [
+def _options(taxonomy: rules.Roles) -> Column:
+    return F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(value).alias("value"), F.lit(label).alias("label"))
         for i, (value, label) in enumerate(taxonomy.labels)
-    ]
-    return lines.sparkSession.range(1).select(F.inline(F.array(*options)))
+    ])
 
 
 def tag_values(lines: DataFrame, tags: str) -> DataFrame:
@@ -371,26 +370,44 @@ def jobs(
 
     The page is decided on (date, id) alone; the wide columns are then read for
     those at most ``MAX_ROWS`` rows, whose dates also prune the partitions of
-    that second read. Deep pages should pass ``after``, the date and id of the
-    last row seen: it costs the same at any depth, while ``page`` keeps
-    ``page * page_size`` keys in each task.
+    that second read. ``page`` counts the postings of each day first and ranks
+    only the days that the page lies in; ``after``, the date and id of the last
+    row seen, needs no count.
     """
     _check(page >= 1, "page must be at least 1")
     _check_limit(page_size, "page_size")
     chosen = _drill_down(lines, role, skill, certificate, industry, date_range, as_of, taxonomy)
-    offset = (page - 1) * page_size
     if after is not None:
         day, last_id = F.lit(after[0]), after[1]
         chosen = chosen.where(
             (F.col("posting_date") < day) | ((F.col("posting_date") == day) & (F.col("job_id") > last_id))
         )
-        offset = 0
     order = [F.desc("posting_date"), F.asc("job_id")]
-    keys = chosen.select("posting_date", "job_id").orderBy(*order).offset(offset).limit(page_size)
+    if after is not None or page == 1:
+        keys = chosen.select("posting_date", "job_id").orderBy(*order).limit(page_size)
+    else:
+        keys = _page_keys(chosen, (page - 1) * page_size, page_size)
     page_rows = lines.join(F.broadcast(keys), ["posting_date", "job_id"], "left_semi")
     return page_rows.orderBy(*order).select(*JOB_COLUMNS)
 
 
+def _page_keys(chosen: DataFrame, offset: int, size: int) -> DataFrame:
+    """Date and id of the rows from ``offset`` on, newest first, ties by id.
+
+    One row per day goes through the running sum. The days of a page are at most as
+    many as its rows, so what is broadcast has a bound.
+    """
+    days = chosen.groupBy("posting_date").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy(F.desc("posting_date")))
+    days = days.select("posting_date", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+    days = days.where((F.col("before") < offset + size) & (F.col("upto") > offset)).withColumnRenamed("posting_date", "day")
+    inside = chosen.select("posting_date", "job_id").join(F.broadcast(days), F.col("posting_date").eqNullSafe(F.col("day")))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("posting_date").orderBy("job_id"))
+    return inside.withColumn("place", place).where(
+        (F.col("place") > offset) & (F.col("place") <= offset + size)
+    ).select("posting_date", "job_id")
+
+
 def jobs_count(
     lines: DataFrame,
     role: str,

@@ -74,9 +74,11 @@ def posting_lines(
     needs_company = any(c in COMPANY_COLUMNS for c in columns)
     needs_location = any(c in LOCATION_COLUMNS for c in columns)
     if needs_company:
-        own.append(company_id().alias("company_id"))
+        # A posting without a company has no row in the dimension; NULL keeps such rows from meeting in one key.
+        named = F.col("co_name").isNotNull() | F.col("company").isNotNull()
+        own.append(F.when(named, company_id()).alias("company_id"))
     if needs_location:
-        own.append(location_id().alias("location_id"))
+        own.append(F.when(F.col("location").isNotNull(), location_id()).alias("location_id"))
     lines = latest.select(*own)
     if needs_company:
         lines = lines.alias("p").join(_company_side(companies), "company_id", "left")

@@ -19,3 +19,8 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 def undated(lines: DataFrame) -> DataFrame:
     """Number of postings that no window and no daily mart can show."""
     return lines.agg(F.count_if(F.col("posting_date").isNull()).alias("undated_postings"))
+
+
+def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that stand in more than one row, and in how many."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")

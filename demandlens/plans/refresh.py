@@ -10,14 +10,18 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandlens import rules
 from demandlens.operators import entities
 from demandlens.operators.upsert import first_load, scd1_upsert
-from demandlens.plans import dims, facts, marts
-from demandlens.plans.lines import job_posting_lines, posting_lines, posting_lines_from_star
+from demandlens.plans import dims, facts, marts, quality
+from demandlens.plans.lines import job_posting_lines, posting_lines
 from demandlens.sources.tables import Snapshots, append, is_written, overwrite, read_table
 
+#: Entities of a posting, kept with it between the steps.
+FOUND = "_entities"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -52,8 +56,7 @@ def _staging(spark: SparkSession, latest: DataFrame, s: Settings) -> DataFrame:
     """Entities per posting. Results of a callable are appended before use, so a
     re-evaluated plan never calls it again."""
     if s.extractor is None:
-        found = entities.dictionary_entities("description", s.terms)
-        return entities.inline_entities(latest.select("job_id", found.alias("e")), "job_id", "e")
+        return entities.inline_entities(latest, "job_id", FOUND)
     results = s.path("entity_results")
     known = read_table(spark, results) if is_written(spark, results) else None
     append(entities.extract_texts(entities.pending_texts(latest, "description", known), s.extractor), results)
@@ -61,8 +64,16 @@ def _staging(spark: SparkSession, latest: DataFrame, s: Settings) -> DataFrame:
 
 
 def refresh(spark: SparkSession, bronze: DataFrame, s: Settings) -> dict[str, DataFrame]:
-    """Rebuild every table under ``s.base``; companies are upserted, role snapshots kept."""
-    latest = _store(spark, facts.latest_postings(bronze), s, "latest")
+    """Rebuild every table under ``s.base``; companies are upserted, role snapshots kept.
+
+    Texts are searched once: a dictionary's entities are stored with the latest
+    postings, a callable's come from its staged results. Raises where a table that has
+    one row per posting has more.
+    """
+    latest = facts.latest_postings(bronze)
+    if s.extractor is None:
+        latest = latest.withColumn(FOUND, entities.dictionary_entities("description", s.terms))
+    latest = _store(spark, latest, s, "latest")
     staging = _store(spark, _staging(spark, latest, s), s, "staging")
     t = {
         "companies": _companies(spark, latest, s),
@@ -80,16 +91,17 @@ def refresh(spark: SparkSession, bronze: DataFrame, s: Settings) -> dict[str, Da
         "job_postings_slim": _store(
             spark, facts.fact_postings_slim(latest, s.taxonomy), s, "job_postings_slim", "_batch_date"),
     }
-    if s.extractor is None:
-        found = entities.dictionary_entities("description", s.terms) if s.terms else None
-        lines = posting_lines(latest, t["companies"], t["locations"], s.taxonomy, found)
-    else:
-        lines = posting_lines_from_star(
-            t["job_postings"], t["roles"], t["companies"], t["locations"], t["bridge_job_skills"],
-            t["skills"], t["bridge_job_certifications"], t["certifications"],
-        )
+    rows = latest
+    if s.extractor is not None:
+        named = F.struct(F.col("cert_name").alias("name"), F.col("cert_provider").alias("provider"))
+        rows = latest.join(staging.groupBy("job_id").agg(F.collect_list(named).alias(FOUND)), "job_id", "left")
+    found = F.coalesce(FOUND, F.array().cast(entities.ENTITIES))
+    lines = posting_lines(rows, t["companies"], t["locations"], s.taxonomy, found)
     lines = _store(spark, job_posting_lines(lines, s.as_of), s, "job_posting_lines", "posting_date")
     t["job_posting_lines"] = lines
+    repeated = quality.repeated_keys(lines, "job_id").limit(5).collect()
+    if repeated:
+        raise ValueError(f"job_posting_lines has repeated ids, such as {[r['job_id'] for r in repeated]}")
     t["skill_daily"] = _store(
         spark, marts.skill_daily(lines, t["skills"], s.as_of), s, "skill_daily", "posting_date")
     t["cert_daily"] = _store(

@@ -51,10 +51,9 @@ RELATIONSHIPS = (("job_posting", "role_name", "role_daily", "role_name", "many_t
 # --- End of fixed values ----------------------------------------------------
 
 
-def _aggregate(entity: Entity, kind: str, column: str) -> Column:
+def _aggregate(kind: str, column: str) -> Column:
     if kind == COUNT_DISTINCT:
-        # The entity has one row per key, so counting the key needs no DISTINCT.
-        return F.count(column) if column == entity.key else F.count_distinct(column)
+        return F.count_distinct(column)
     return F.sum(column) if kind == SUM else F.max_by(column, "business_date")
 
 
@@ -69,7 +68,7 @@ def measure(
     if unknown:
         raise ValueError(f"{entity_name} does not declare {unknown}")
     return rows.groupBy(*dimensions).agg(
-        *[_aggregate(entity, *entity.measures[n]).alias(n) for n in names]
+        *[_aggregate(*entity.measures[n]).alias(n) for n in names]
     )
 
 

@@ -115,6 +115,13 @@ RENAMED = {
 Spec = list[tuple[str, str, DataType]]
 
 
+def as_text(kind: DataType) -> DataType:
+    """The same nesting with every leaf a string, so that reading loses no value."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, as_text(f.dataType)) for f in kind.fields])
+    return ArrayType(as_text(kind.elementType)) if isinstance(kind, ArrayType) else StringType()
+
+
 def flatten_spec(record: StructType = RECORD) -> Spec:
     """``(output name, dotted path, type)`` per leaf.
 

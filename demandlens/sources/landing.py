@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
-from demandlens.operators.paths import project
+from demandlens.operators.paths import lost_values, path_column, project
 from demandlens.rules import SOURCE_SYSTEM
-from demandlens.schema import RECORD, Spec, flatten_spec
+from demandlens.schema import RECORD, Spec, as_text, flatten_spec
 
 BAD_RECORD = "_bad_record"
+#: Values of an accepted row that did not convert, with their column.
+UNCONVERTED = "_unconverted"
+#: Files are read whatever their age and however deep their folder.
+EVERY_FILE = {"recursiveFileLookup": "true", "maxFileAge": "36500d"}
 
 
 def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
@@ -29,27 +33,36 @@ def load_schema(spark: SparkSession, path: str) -> StructType:
 
 
 def readable_schema(record: StructType = RECORD) -> StructType:
-    """``record`` plus the column that receives unreadable input."""
-    return StructType([*record.fields, StructField(BAD_RECORD, StringType())])
+    """``record`` with text leaves, plus the column that receives unreadable input.
+
+    A value of another JSON type than declared (``"77"``, ``12.0``, ``"true"``) is kept as
+    its text and converted by ``flatten``.
+    """
+    return StructType([*as_text(record).fields, StructField(BAD_RECORD, StringType())])
 
 
 def read_json(spark: SparkSession, path: str, record: StructType = RECORD) -> DataFrame:
-    """Landing files as one batch; unreadable lines and values land in ``_bad_record``."""
-    reader = spark.read.schema(readable_schema(record))
+    """Landing files as one batch; unreadable lines land in ``_bad_record``."""
+    reader = spark.read.schema(readable_schema(record)).option("recursiveFileLookup", "true")
     return reader.option("columnNameOfCorruptRecord", BAD_RECORD).json(path)
 
 
 def flatten(raw: DataFrame, spec: Spec | None = None, source: str = SOURCE_SYSTEM) -> DataFrame:
     """Nested records to bronze rows: the spec's columns, audit columns, fingerprint.
 
-    Works on batch and streaming frames alike. ``_bad_record`` is kept if present.
+    Works on batch and streaming frames alike. ``_bad_record`` is kept if present, and
+    with it what did not convert.
     """
     spec = flatten_spec() if spec is None else spec
     now = F.current_timestamp()
     keep_bad = BAD_RECORD in raw.columns
     full = [*spec, (BAD_RECORD, BAD_RECORD, StringType())] if keep_bad else spec
     names = [name for name, _, _ in spec]
-    return project(raw, full).withColumns({
+    rows = project(raw, full)
+    if keep_bad:
+        lost = lost_values(raw.schema, spec).alias(UNCONVERTED)
+        rows = raw.select(*[path_column(raw.schema, path, to).alias(n) for n, path, to in full], lost)
+    return rows.withColumns({
         "_raw_ingested_at": now,
         "_bronze_processed_at": now,
         "_source": F.lit(source),

@@ -6,8 +6,6 @@ costs a join, so callers name the groups they need.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +36,8 @@ OWNER, TAGS, TEXT = "owner", "tags", "text"
 EVERYTHING = (OWNER, TAGS, TEXT)
 
 
-@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; its footers are read once per session."""
+    """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,13 +53,11 @@ def order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=64)
 def postings(spark: SparkSession, sf_dir: str, groups: tuple[str, ...] = EVERYTHING) -> DataFrame:
     """Bronze-shaped rows; columns of groups that are not asked for are NULL.
 
-    Plans are built once per session and directory; that keeps no data, only the
-    analysed plan. The join on the order key comes last, so that
-    its partitioning serves the per-posting steps that follow.
+    The join on the order key comes last, so that its partitioning serves the
+    per-posting steps that follow.
     """
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
     rows = table(spark, sf_dir, "orders")

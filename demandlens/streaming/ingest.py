@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType
 
+from demandlens.operators.paths import LOST
 from demandlens.rules import SOURCE_SYSTEM
 from demandlens.schema import BRONZE, RECORD, Spec
-from demandlens.sources.landing import BAD_RECORD, flatten, readable_schema, with_key, without_key
+from demandlens.sources.landing import BAD_RECORD, EVERY_FILE, UNCONVERTED, flatten, readable_schema, with_key, without_key
 
 REJECTED = "rejected"
 
@@ -28,11 +29,13 @@ def stream_ingest(
 
     Good rows and rejects go through one pass and one file sink, told apart by a
     partition column, so both are written exactly once per input file. A large
-    backlog is drained in micro-batches of at most ``max_bytes_per_batch``.
+    backlog is drained in micro-batches of at most ``max_bytes_per_batch``. Files are read
+    whatever their age and also in sub-folders.
     Returns the finished query.
     """
     raw = (
         spark.readStream.schema(readable_schema(record))
+        .options(**EVERY_FILE)
         .option("columnNameOfCorruptRecord", BAD_RECORD)
         .option("maxBytesPerTrigger", max_bytes_per_batch)
         .json(landing)
@@ -52,7 +55,8 @@ def stream_ingest(
 
 
 def _stored(spark: SparkSession, bronze: str, schema: StructType) -> DataFrame:
-    extra = [StructField(BAD_RECORD, StringType()), StructField(REJECTED, BooleanType())]
+    lost = StructField(UNCONVERTED, DataType.fromDDL(LOST))
+    extra = [StructField(BAD_RECORD, StringType()), lost, StructField(REJECTED, BooleanType())]
     return spark.read.schema(StructType([*schema.fields, *extra])).parquet(bronze)
 
 
@@ -63,6 +67,13 @@ def read_bronze(spark: SparkSession, bronze: str, schema: StructType = BRONZE) -
     return accepted.select(*schema.fieldNames())
 
 
+def read_lost(spark: SparkSession, bronze: str, schema: StructType = BRONZE) -> DataFrame:
+    """``job_id``, ``_unconverted`` and ``_bad_record`` of accepted rows that lost a value."""
+    accepted = _stored(spark, bronze, schema).where(~F.col(REJECTED))
+    lost = accepted.where((F.size(UNCONVERTED) > 0) | F.col(BAD_RECORD).isNotNull())
+    return lost.select("job_id", UNCONVERTED, BAD_RECORD)
+
+
 def read_rejects(spark: SparkSession, bronze: str, schema: StructType = BRONZE) -> DataFrame:
-    """Rejected rows with the raw line where Spark could not read it."""
+    """Rejected rows with what did not convert, and the raw line where Spark could not read it."""
     return without_key(_stored(spark, bronze, schema).where(F.col(REJECTED))).drop(REJECTED)

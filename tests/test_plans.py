@@ -13,6 +13,7 @@ from demandlens.operators import entities
 from demandlens.operators.latest import latest_by_key
 from demandlens.operators.medians import summarize_with_median
 from demandlens.plans import insight, marts, quality
+from demandlens.sources import order_feed as feed
 from demandlens.sources.landing import discovered_after
 
 
@@ -26,13 +27,20 @@ def executed(df):
     return execution.executedPlan().toString()
 
 
+#: Queries that search texts: by a callable, or by the automaton of a dictionary.
+SEARCHING = {
+    "entity_extract", "entity_staging", "extract_incremental", "extract_callable", "dim_certs", "bridge_job_certs",
+    "posting_lines", "posting_lines_star", "cert_daily", "filter_tag_values", "insight_certs", "insight_cert_trend",
+}
+
+
 @pytest.mark.parametrize("key", QUERIES)
 def test_plan_shape(spark, sf_dir, key):
-    """No cross join, no DISTINCT expansion, Python only for the callable extractor."""
+    """No cross join, no DISTINCT expansion, Python only where texts are searched."""
     text = plan(QUERIES[key](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Expand" not in text or key == "insight_skills_cube"
-    assert ("InPandas" in text or "EvalPython" in text) is (key == "extract_callable")
+    assert ("InPandas" in text or "EvalPython" in text) is (key in SEARCHING)
 
 
 def test_versions_are_cut_before_the_shuffle(spark, sf_dir):
@@ -174,3 +182,23 @@ def test_day_bound_equals_day_comparison(spark):
     got = discovered_after(rows, since).collect()
     assert sorted(got) == sorted(rows.where(F.to_date("discovered_at") > F.lit(since)).collect())
     assert discovered_after(rows, None).count() == rows.count()
+
+
+def test_skills_read_their_input_once(spark, sf_dir):
+    assert plan(q.dim_skills(spark, sf_dir)).count("lineitem.parquet") == 1
+
+
+def test_deep_pages_keep_one_page(spark, sf_dir):
+    rows = q.lines(spark, sf_dir, *q.JOB_LINES)
+    text = plan(insight.jobs(rows, q.ROLE, q.RANGE, page=100_000, as_of=q.AS_OF, taxonomy=feed.ROLES))
+    assert "TakeOrderedAndProject" not in text and "offset" not in text.lower()
+
+
+def test_pages_are_the_whole_list(spark, sf_dir):
+    rows = q.lines(spark, sf_dir, *q.JOB_LINES)
+    asked = {"as_of": q.AS_OF, "taxonomy": feed.ROLES, "page_size": 50}
+    pages = [insight.jobs(rows, q.ROLE, q.RANGE, page=p, **asked).collect() for p in (1, 2, 3, 4)]
+    ids = [r["job_id"] for page in pages for r in page]
+    whole = rows.where((F.col("role_name") == q.ROLE) & q.resolve_window(q.RANGE, q.AS_OF).current(F.col("posting_date")))
+    want = [r["job_id"] for r in whole.orderBy(F.desc("posting_date"), "job_id").limit(200).collect()]
+    assert ids == want

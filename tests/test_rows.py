@@ -1,5 +1,6 @@
 """Row-level operators on hand-made frames."""
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -11,10 +12,12 @@ from demandlens.functions.keys import mart_key, surrogate_key, with_audit, with_
 from demandlens.functions.rates import change_pct, demand_badge, round1, share_pct, trend_label
 from demandlens.functions.text import role_name, slug_to_name
 from demandlens.operators import entities
+from demandlens.operators.medians import value_bucket
 from demandlens.operators.paths import conform, path_type, project
 from demandlens.operators.upsert import first_load, scd1_upsert
 from demandlens.plans import dims, facts, insight
 from demandlens.plans.lines import posting_lines
+from demandlens.rules import Term
 from demandlens.schema import BRONZE, RECORD, flatten_spec
 from demandlens.sources import landing
 
@@ -327,3 +330,46 @@ def test_filters_cascade(spark):
 def test_bad_arguments(spark, call):
     with pytest.raises(ValueError):
         call(lines(spark, []))
+
+
+def test_extractor_gets_whole_texts(spark):
+    mention = "m" * 300
+    docs = spark.createDataFrame([(1, "x" * 3750 + mention + "y" * 4000)], "id int, t string")
+    term = Term(mention, "long", None)
+
+    def find(text):
+        return [{"name": "long"}] if mention in text else []
+
+    staged = entities.extract_texts(entities.pending_texts(docs, "t"), find)
+    assert [e["name"] for e in staged.first()["entities"]] == ["long"]
+    found = docs.select(entities.dictionary_entities("t", (term,)).alias("e")).first()["e"]
+    assert [e["name"] for e in found] == ["long"]
+
+
+def test_dictionary_of_thousands_equals_substring_search(spark):
+    terms = tuple(Term(f"w{i % 997}x{i}", f" name{i // 2} ", None if i // 2 % 3 else "p") for i in range(4000))
+    texts = ["", None, "w1x1 and w1x998w2x2", "w3x3999", "nothing", " ".join(t.pattern for t in terms[100:140])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = docs.select("id", entities.dictionary_entities("t", terms).alias("e")).collect()
+    for row in got:
+        text = texts[row["id"]]
+        want = dict.fromkeys((t.name.strip(), t.provider) for t in terms if text is not None and t.pattern in text)
+        assert [(e["name"], e["provider"]) for e in row["e"]] == list(want)
+
+
+def test_repeated_staged_results_count_once(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "a")], "id int, t string")
+    one = docs.limit(1).select(entities.text_hash("t").alias("text_hash"),
+                               F.array(F.struct(F.lit("n").alias("name"), F.lit(None).cast("string").alias("provider"))).alias("entities"),
+                               F.lit(None).cast("string").alias("error"))
+    hits = entities.staged_entities(docs, "id", "t", one.union(one)).collect()
+    assert sorted((h["id"], h["cert_name"]) for h in hits) == [(1, "n"), (2, "n")]
+
+
+def test_median_buckets_are_narrow_at_every_magnitude(spark):
+    values = [i * 1e-9 for i in range(1, 20000)] + [-(2.0 ** e) for e in range(-300, 300, 7)] + [0.0, 5e-324, 1.7e308, -1.7e308]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    rows = df.select("v", value_bucket("v").alias("b")).orderBy("v").collect()
+    assert all(x["b"] <= y["b"] for x, y in zip(rows, rows[1:]))
+    widest = max(Counter(r["b"] for r in rows).values())
+    assert widest < 40

@@ -1,6 +1,8 @@
 """Streams, sinks, snapshots and the refresh of all tables, on temporary folders."""
 
 import json
+import os
+import time
 from datetime import date, datetime
 
 import pytest
@@ -10,11 +12,11 @@ from demandlens.plans import insight
 from demandlens.plans.refresh import Settings, refresh
 from demandlens.schema import BRONZE, RECORD
 from demandlens.sources import landing, order_feed as feed, tables
-from demandlens.streaming.ingest import read_bronze, read_rejects, stream_ingest
+from demandlens.streaming.ingest import read_bronze, read_lost, read_rejects, stream_ingest
 
 
 def write_lines(folder, name, *lines):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     text = "\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines)
     (folder / name).write_text(text + "\n")
 
@@ -56,6 +58,35 @@ def test_stream_quarantines_and_goes_on(ingest):
     assert len(raw) == 3 and "{broken" in raw
 
 
+def test_stream_reads_late_and_nested_files(ingest):
+    landing_dir, run = ingest
+    write_lines(landing_dir, "a.json", {"id": 1})
+    run()
+    write_lines(landing_dir / "2024" / "05", "b.json", {"id": 2})
+    write_lines(landing_dir, "late.json", {"id": 3})
+    month_ago = time.time() - 30 * 86400
+    os.utime(landing_dir / "late.json", (month_ago, month_ago))
+    good, _ = run()
+    assert sorted(r["job_id"] for r in good.collect()) == [1, 2, 3]
+
+
+def test_stream_keeps_values_of_another_type(ingest, spark):
+    landing_dir, run = ingest
+    write_lines(landing_dir, "a.json", {
+        "id": "77", "min_annual_salary_usd": "90000", "remote": "true", "job_title": 5, "employment_statuses": ["x"],
+        "date_posted": "soon", "company_object": {"employee_count": 12.0, "industry_id": "7", "founded_year": "old"},
+        "discovered_at": "2024-05-01T10:00:00Z", "locations": [{"id": "9"}],
+    })
+    good, bad = run()
+    row, = good.collect()
+    assert bad.count() == 0
+    assert (row["job_id"], row["min_annual_salary_usd"], row["remote"], row["job_title"]) == (77, 90000.0, True, "5")
+    assert (row["co_employee_count"], row["co_industry_id"], row["loc_id"]) == (12, 7, 9)
+    assert row["discovered_at"] is not None and row["employment_statuses"] == ["x"]
+    lost, = read_lost(spark, str(landing_dir.parent / "bronze")).collect()
+    assert {(v["name"], v["value"]) for v in lost["_unconverted"]} == {("date_posted", "soon"), ("co_founded_year", "old")}
+
+
 def test_inferred_schema_round_trip(spark, tmp_path):
     write_lines(tmp_path / "in", "a.json", {"id": 1, "tags": ["x"], "nested": {"a": 1.5}})
     schema = landing.infer_schema(spark, str(tmp_path / "in"))
