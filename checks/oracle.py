@@ -6,6 +6,8 @@ is appended to it. Unused parts cost nothing.
 
 from __future__ import annotations
 
+from demandlens.schema import BRONZE
+
 
 def _title_case(text: str) -> str:
     words = f"string_split({text}, ' ')"
@@ -236,6 +238,29 @@ FOUND = """found AS (SELECT {key} AS key, count(name) AS entity_count,
 
 DISTINCT_TEXTS = "texts AS (SELECT DISTINCT sha256(text) AS text_hash, text FROM documents)"
 
+
+def _bronze_wide() -> str:
+    """Known columns by expression, all others NULL of their type."""
+    known = {
+        "job_id": "o_orderkey", "job_title": "o_orderpriority", "date_posted": "o_orderdate::DATE",
+        "discovered_at": "o_orderdate::DATE", "remote": "o_orderkey % 2 = 0", "hybrid": "o_orderkey % 5 = 0",
+        "min_annual_salary_usd": "o_totalprice", "max_annual_salary_usd": "o_totalprice",
+        "technology_slugs": "o_orderstatus || '|' || o_orderpriority",
+        "loc_id": "n_nationkey::BIGINT", "loc_name": "n_name", "loc_country_name": "n_name",
+        "co_id": "c_custkey::VARCHAR", "co_name": "c_name", "co_industry": "c_mktsegment",
+        "co_employee_count": "c_nationkey::INTEGER", "co_industry_id": "c_nationkey::INTEGER",
+        "co_founded_year": "CASE WHEN o_orderkey % 3 <> 0 THEN year(o_orderdate)::INTEGER END",
+        "co_is_recruiting_agency": "o_orderkey % 2 = 0", "co_company_tags": "c_mktsegment",
+    }
+    kinds = {"long": "BIGINT", "integer": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE", "timestamp": "DATE"}
+    columns = [
+        f"{known.get(f.name, 'NULL::' + kinds.get(f.dataType.typeName(), 'VARCHAR'))} AS {f.name}"
+        for f in BRONZE.fields if not f.name.startswith("_")
+    ]
+    return (f"SELECT {', '.join(columns)}, (o_orderkey % 3 = 0)::INTEGER AS unconverted FROM orders "
+            "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 11 <> 0")
+
+
 ORACLE: dict[str, str] = {
     "bronze_flatten": """SELECT o_orderkey AS job_id, o_orderpriority AS job_title,
        TRY_CAST(CASE WHEN o_custkey % 5 = 0 THEN 'soon' ELSE o_orderdate::DATE::VARCHAR END AS DATE) AS date_posted,
@@ -245,6 +270,7 @@ ORACLE: dict[str, str] = {
        c_nationkey AS co_employee_count, NULL::VARCHAR AS company_domain, true AS no_slugs
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 WHERE o_orderstatus <> 'P'""",
+    "bronze_wide": _bronze_wide(),
     "incremental_scan": "SELECT event_id, user_id, event_type, value FROM events WHERE ts::DATE > DATE '2024-01-15'",
     "surrogate_key": BASE + """SELECT job_id,
        md5(coalesce(normalized_title, '') || '||' || coalesce(co_industry, '')) AS guarded_key,
@@ -310,7 +336,7 @@ LEFT JOIN keyed ON role_name = r.name GROUP BY r.name""",
        md5(role_name) AS role_id, date_posted AS posted_at, remote AS is_remote,
        discovered_at::DATE AS _batch_date FROM keyed""",
     "posting_lines": BASE + f"SELECT *, {AS_OF} AS business_date FROM lines",
-    "posting_lines_star": BASE + """SELECT * EXCLUDE (description) REPLACE (
+    "posting_lines_star": BASE + """SELECT * REPLACE (
        array_to_string(skill_names, '|') AS skill_names, array_to_string(cert_names, '|') AS cert_names)
 FROM lines""",
     "skill_daily": BASE + f", {SKILL_LOOKUP}, {_daily('skill_names', 'skill_name', 'skill_category')} "

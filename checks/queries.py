@@ -104,6 +104,41 @@ def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bronze column from JSON text, with numbers, flags and keys written as other JSON types."""
+    key, text = F.col("o_orderkey"), "string"
+    place = F.struct(F.col("n_nationkey").cast(text).alias("id"), F.col("n_name").alias("name"), F.col("n_name").alias("country_name"))
+    company = F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("industry"),
+        F.col("c_nationkey").cast("double").alias("employee_count"), F.col("c_nationkey").cast(text).alias("industry_id"),
+        F.when(key % 3 == 0, "old").otherwise(F.year("o_orderdate").cast(text)).alias("founded_year"),
+        (key % 2 == 0).cast(text).alias("is_recruiting_agency"), F.array("c_mktsegment").alias("company_tags"),
+    )
+    record = F.struct(
+        F.when(key % 11 == 0, "n/a").otherwise(key.cast(text)).alias("id"), F.col("o_orderpriority").alias("job_title"),
+        F.to_date("o_orderdate").cast(text).alias("date_posted"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("discovered_at"),
+        (key % 2 == 0).cast(text).alias("remote"), (key % 5 == 0).alias("hybrid"),
+        F.col("o_totalprice").cast(text).alias("min_annual_salary_usd"), F.col("o_totalprice").alias("max_annual_salary_usd"),
+        F.array("o_orderstatus", "o_orderpriority").alias("technology_slugs"),
+        F.array(place).alias("locations"), company.alias("company_object"), F.lit("ignored").alias("surprise"),
+    )
+    lines = (
+        feed.table(spark, sf_dir, "orders")
+        .join(feed.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(feed.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(F.to_json(record).alias("line"))
+    )
+    raw = lines.select(F.from_json("line", landing.readable_schema()).alias("r")).select("r.*")
+    rows = landing.with_key(landing.flatten(raw))
+    plain = {
+        f.name: F.array_join(f.name, "|") if f.dataType.typeName() == "array"
+        else F.to_date(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
+        for f in BRONZE.fields if not f.name.startswith("_")
+    }
+    return rows.select(*[c.alias(n) for n, c in plain.items()], F.size(landing.UNCONVERTED).alias("unconverted"))
+
+
 def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = feed.table(spark, sf_dir, "events")
     return landing.discovered_after(events, date(2024, 1, 15), "ts").select(
@@ -315,14 +350,14 @@ def posting_lines_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows by way of the star schema."""
     tagged, owned = latest(spark, sf_dir, TAGS), latest(spark, sf_dir, OWNER)
     star = lines_plan.posting_lines_from_star(
-        facts.fact_postings(latest(spark, sf_dir, OWNER, TAGS), feed.ROLES),
+        facts.fact_postings(latest(spark, sf_dir, OWNER, TAGS, TEXT), feed.ROLES),
         dims.roles(spark, feed.ROLES),
         dims.companies(owned), dims.locations(owned, feed.CONTINENT_CODES),
         facts.bridge_job_skills(tagged), dims.skills(tagged),
         facts.bridge_job_certifications(staging(spark, sf_dir)), certs(spark, sf_dir),
     )
     joined = {c: F.array_join(c, "|") for c in ("skill_names", "cert_names")}
-    return star.drop("description").withColumns(joined)
+    return star.withColumns(joined)
 
 
 def skill_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,6 +492,7 @@ def orphan_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "bronze_flatten": bronze_flatten,
+    "bronze_wide": bronze_wide,
     "incremental_scan": incremental_scan,
     "surrogate_key": surrogate_keys,
     "slug_name": slug_name,
