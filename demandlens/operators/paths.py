@@ -69,10 +69,10 @@ def lost_values(schema: StructType, spec: Spec) -> Column:
     return F.array_compact(F.array(*found)) if found else F.array().cast(LOST)
 
 
-def project(df: DataFrame, spec: Spec) -> DataFrame:
-    """One flat select: every entry of ``spec``, renamed and typed."""
+def project(df: DataFrame, spec: Spec, *more: Column) -> DataFrame:
+    """One flat select: every entry of ``spec``, renamed and typed, and further columns."""
     schema = df.schema
-    return df.select(*[path_column(schema, path, to).alias(name) for name, path, to in spec])
+    return df.select(*[path_column(schema, path, to).alias(name) for name, path, to in spec], *more)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

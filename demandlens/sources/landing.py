@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
-from demandlens.operators.paths import lost_values, path_column, project
+from demandlens.operators.paths import lost_values, project
 from demandlens.rules import SOURCE_SYSTEM
 from demandlens.schema import RECORD, Spec, as_text, flatten_spec
 
@@ -58,11 +58,8 @@ def flatten(raw: DataFrame, spec: Spec | None = None, source: str = SOURCE_SYSTE
     keep_bad = BAD_RECORD in raw.columns
     full = [*spec, (BAD_RECORD, BAD_RECORD, StringType())] if keep_bad else spec
     names = [name for name, _, _ in spec]
-    rows = project(raw, full)
-    if keep_bad:
-        lost = lost_values(raw.schema, spec).alias(UNCONVERTED)
-        rows = raw.select(*[path_column(raw.schema, path, to).alias(n) for n, path, to in full], lost)
-    return rows.withColumns({
+    lost = [lost_values(raw.schema, spec).alias(UNCONVERTED)] if keep_bad else []
+    return project(raw, full, *lost).withColumns({
         "_raw_ingested_at": now,
         "_bronze_processed_at": now,
         "_source": F.lit(source),
