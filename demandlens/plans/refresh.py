@@ -33,6 +33,8 @@ class Settings:
     taxonomy: rules.Roles = rules.Roles()
     terms: tuple[rules.Term, ...] = ()
     extractor: entities.Extractor | None = None
+    #: Commits of a callable's results in one run.
+    extract_commits: int = 4
     continent_codes: tuple[tuple[str, str], ...] = tuple(rules.CONTINENT_CODES.items())
 
     def path(self, table: str) -> str:
@@ -59,7 +61,10 @@ def _staging(spark: SparkSession, latest: DataFrame, s: Settings) -> DataFrame:
         return entities.inline_entities(latest, "job_id", FOUND)
     results = s.path("entity_results")
     known = read_table(spark, results) if is_written(spark, results) else None
-    append(entities.extract_texts(entities.pending_texts(latest, "description", known), s.extractor), results)
+    pending = entities.pending_texts(latest, "description", known)
+    for part in range(s.extract_commits):  # a failure later on keeps what is committed
+        own = pending.where(F.pmod(F.crc32("text_hash"), F.lit(s.extract_commits)) == part)
+        append(entities.extract_texts(own, s.extractor), results)
     return entities.staged_entities(latest, "job_id", "description", read_table(spark, results))
 
 

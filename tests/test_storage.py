@@ -8,7 +8,9 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from demandlens.operators import entities
 from demandlens.plans import insight
+from demandlens.plans import refresh as refresh_plan
 from demandlens.plans.refresh import Settings, refresh
 from demandlens.schema import BRONZE, RECORD
 from demandlens.sources import landing, order_feed as feed, tables
@@ -175,5 +177,26 @@ def test_refresh(spark, sf_dir, tmp_path):
     assert insight.skills(again["job_posting_lines"], "role_a", "2y", as_of=AS_OF, taxonomy=feed.ROLES).count() > 0
 
 
+def test_extraction_keeps_what_is_committed(spark, tmp_path, monkeypatch):
+    latest = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "job_id long, description string")
+    settings = Settings(str(tmp_path), date(2024, 1, 1), datetime(2024, 1, 1), extractor=lambda text: [{"name": text}])
+    whole, calls = entities.extract_texts, []
+
+    def failing(texts, extractor):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return whole(texts, extractor)
+
+    monkeypatch.setattr(entities, "extract_texts", failing)
+    with pytest.raises(RuntimeError):
+        refresh_plan._staging(spark, latest, settings)
+    kept = tables.read_table(spark, settings.path("entity_results")).count()
+    assert 0 < kept < 40
+    found = refresh_plan._staging(spark, latest, settings)
+    assert sorted(r["cert_name"] for r in found.collect()) == sorted(f"text {i}" for i in range(40))
+    assert tables.read_table(spark, settings.path("entity_results")).count() == 40
+
+
 def test_record_fields_are_nullable():
     assert all(f.nullable for f in RECORD.fields)
