@@ -29,11 +29,11 @@ from pyspark.sql.window import Window
 from demandlens.llm.rows import checkpointed, pick
 
 ORDER = 5
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 24 << 20
 #: Bits of a symbol: a byte, or ``EDGE``, which stands before and after a text.
 WIDTH, EDGE = 9, 256
 #: Text whose symbols are in memory at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def low(order: int) -> int:
@@ -161,7 +161,8 @@ def score(
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
 
     def columns(table) -> tuple[list[bytes], list[bool]]:
-        return [t.lower() for t in table["text"].cast(pa.large_binary()).to_pylist()], table["learn"].to_pylist()
+        # One by one, so that the texts are in memory once.
+        return [t.as_py().lower() for t in table["text"].cast(pa.large_binary())], table["learn"].to_pylist()
 
     def all_grams(batches):
         for batch in batches:
