@@ -74,11 +74,13 @@ def posting_lines(
     needs_company = any(c in COMPANY_COLUMNS for c in columns)
     needs_location = any(c in LOCATION_COLUMNS for c in columns)
     if needs_company:
-        # A posting without a company has no row in the dimension; NULL keeps such rows from meeting in one key.
-        named = F.col("co_name").isNotNull() | F.col("company").isNotNull()
-        own.append(F.when(named, company_id()).alias("company_id"))
+        # Without id and names a posting has no row in the dimension; NULL keeps such rows from meeting in one key.
+        # The row of a posting with an id only may come from another posting, or from an earlier load.
+        known = F.coalesce("co_id", "co_name", "company").isNotNull()
+        own.append(F.when(known, company_id()).alias("company_id"))
     if needs_location:
-        own.append(F.when(F.col("location").isNotNull(), location_id()).alias("location_id"))
+        known = F.col("loc_id").isNotNull() | F.col("location").isNotNull()
+        own.append(F.when(known, location_id()).alias("location_id"))
     lines = latest.select(*own)
     if needs_company:
         lines = lines.alias("p").join(_company_side(companies), "company_id", "left")

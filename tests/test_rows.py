@@ -373,3 +373,15 @@ def test_median_buckets_are_narrow_at_every_magnitude(spark):
     assert all(x["b"] <= y["b"] for x, y in zip(rows, rows[1:]))
     widest = max(Counter(r["b"] for r in rows).values())
     assert widest < 40
+
+
+def test_lines_find_dimension_rows_by_id_alone(spark):
+    """Names may come from another posting of the company or place."""
+    latest = bronze(spark, [
+        {"job_id": 1, "co_id": "c1", "co_name": "A", "co_industry": "Tools", "loc_id": 5, "location": "Oslo", "country": "Norway"},
+        {"job_id": 2, "co_id": "c1", "loc_id": 5},
+        {"job_id": 3},
+    ])
+    lines = posting_lines(latest, dims.companies(latest), dims.locations(latest)).collect()
+    got = {r["job_id"]: (r["company"], r["industry"], r["country"]) for r in lines}
+    assert got == {1: ("A", "Tools", "Norway"), 2: ("A", "Tools", "Norway"), 3: (None, "Unknown", None)}
