@@ -30,8 +30,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.one_of_each(docs).select(*docs.columns)
+    """One document of each SimHash group stays, and of those none with 0.8 of its five-word shingles in common with an earlier one."""
+    return simhash.one_of_each(docs, alike=0.8).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,107 @@
+"""Near copies by the share of common shingles.
+
+Candidates agree in one of ``BANDS`` keys at least, each made of ``ROWS`` minima of hashed
+shingles; at a Jaccard similarity of 0.8 all but one pair in 9,000 do, above it more. The
+shingles of candidates are then compared exactly. Large groups with one key are compared with
+one member at a time first, as long as that removes copies; what is left meets in pairs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from demandlens.llm.rows import checkpointed, map_texts
+
+SIZE, LEAST = 5, 0.8
+BANDS, ROWS = 30, 6
+#: Groups with one key beyond which members are not compared in pairs at once.
+SMALL = 32
+TOGETHER = 1 << 12
+MIXED = np.array([[xxhash.xxh64_intdigest(f"{k}{i}") for i in range(BANDS * ROWS)] for k in "ab"], np.uint64)
+FACTORS, ADDED = MIXED[:1].T | np.uint64(1), MIXED[1:].T
+
+
+def shingles(text: bytes | None, size: int = SIZE) -> set[bytes]:
+    """Runs of ``size`` lower-case words; of fewer words the one run there is."""
+    found = (text or b"").lower().split()
+    if len(found) <= size:
+        return {b" ".join(found)} if found else set()
+    return set(map(b" ".join, zip(*(found[i:] for i in range(size)), strict=False)))
+
+
+def band_keys(text: bytes | None, size: int = SIZE) -> list[int]:
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles(text, size)), np.uint64)
+    if not len(hashes):
+        return []
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), TOGETHER):
+        part = hashes[at:at + TOGETHER]
+        least = np.minimum(least, ((part ^ ADDED) * FACTORS).min(axis=1))
+    keys = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, ROWS))]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def similarity(a: set[bytes], b: set[bytes]) -> float:
+    common = len(a & b)
+    return common / max(1, len(a) + len(b) - common)
+
+
+def later_copies(rows: DataFrame, least: float = LEAST, size: int = SIZE) -> DataFrame:
+    """``node`` of the rows (node, place, text) to leave out, so that no two left are copies.
+
+    Of two copies the one of the larger place goes. ``node`` is a bigint, unique; ``rows`` is read several times.
+    """
+    def make():
+        return lambda texts: [[band_keys(t, size) for t in texts]]
+
+    kept = checkpointed(map_texts(rows, ["node"], "text", "keys array<bigint>", make))
+    gone = rows.sparkSession.createDataFrame([], "node bigint")
+    turn = 0
+    while True:
+        members = shared(kept, turn)
+        large = members.where(F.col("n") > SMALL)
+        n_large = large.select("node").distinct().count()
+        if not n_large:
+            break
+        pairs = large.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+        found = copies(rows, pairs, least, size)
+        gone = gone.union(found)
+        kept = checkpointed(kept.join(found, "node", "left_anti"))
+        turn += 1
+        if found.count() * 10 < n_large:
+            members = shared(kept, turn)
+            break
+    other = members.select("key", F.col("node").alias("b"))
+    pairs = members.select("key", F.col("node").alias("a")).join(other, "key").where("a < b").select("a", "b")
+    return gone.union(copies(rows, pairs, least, size))
+
+
+def shared(kept: DataFrame, turn: int) -> DataFrame:
+    """(key, node, hub, n) of the keys that several nodes have; ``hub`` is one of the n, another one each turn."""
+    at = kept.select(F.explode("keys").alias("key"), "node")
+    groups = at.groupBy("key").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("hub"))
+    return checkpointed(at.join(groups.where("n > 1"), "key").select("key", "node", "hub", "n"))
+
+
+def copies(rows: DataFrame, pairs: DataFrame, least: float, size: int) -> DataFrame:
+    """``node`` of the later one of every pair that is alike."""
+    pairs = pairs.distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(rows.select(*(F.col(c).alias(f"{c}_{side}") for c in ("node", "place", "text"))), F.col(side) == F.col(f"node_{side}"))
+    later = F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b"))
+    given = pairs.select(later.alias("node"), F.col("text_a").cast("string"), F.col("text_b").cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, a, b = (batch.column(i) for i in range(3))
+            a, b = a.cast(pa.large_binary()), b.cast(pa.large_binary())
+            near = [similarity(shingles(x.as_py(), size), shingles(y.as_py(), size)) >= least for x, y in zip(a, b, strict=True)]
+            yield pa.RecordBatch.from_arrays([node.filter(pa.array(near, pa.bool_()))], names=["node"])
+
+    return checkpointed(given.mapInArrow(run, "node bigint").distinct())
