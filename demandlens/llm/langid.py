@@ -2,8 +2,11 @@
 
 A text is a vector of hashed byte n-gram counts, damped, weighted by inverse document
 frequency and normalised. Each language has several centroids, found by spherical
-k-means. The nearest centroid by cosine decides; a text too far from all of them is
-rejected.
+k-means. The nearest centroid by cosine decides; a text too far from it is rejected.
+
+How far is too far follows from the sample: its texts, cut to each of ``LENGTHS``, give the
+cosines that texts of the language have at that length. Rejected is what falls below
+``SLACK`` of their low quantile. Texts shorter than the least length are too short to tell.
 
 Fitted on at most ``per_language`` rows of each language, those with the smallest hash
 of the id; at most ``most_languages`` languages, the most frequent, so the model that
@@ -28,16 +31,28 @@ BUCKETS, SIZES = 1 << 14, (1, 2, 3, 4)
 PER_LANGUAGE, MOST_LANGUAGES, CENTROIDS, ROUNDS = 400, 400, 4, 12
 #: Cosine distance from the nearest centroid beyond which a text is rejected.
 FARTHEST = 0.98
+#: Bytes of folded text at which cosines of the sample are taken, their low quantile, and the part of it that is enough.
+LENGTHS, QUANTILE, SLACK = (16, 32, 64, 128, 512, 2048), 0.01, 0.5
+#: Texts of a length that a language must have for a quantile.
+ENOUGH = 20
 #: Texts that are compared with the centroids at a time.
 TOGETHER = 128
 MULTIPLIER = np.uint32(2654435761)
 letter = regex.compile(r"\p{L}").search
 
 
+def folded(text: bytes) -> bytes:
+    """Lower-case letters; runs of anything else are one blank."""
+    return regex.sub(r"[^\p{L}]+", " ", text.decode(errors="replace").lower()).strip().encode()
+
+
 def counts(text: bytes) -> np.ndarray:
-    """Hashed n-gram counts; runs of anything but letters count as one blank."""
-    folded = regex.sub(r"[^\p{L}]+", " ", text.decode(errors="replace").lower()).strip()
-    codes = np.frombuffer(f" {folded} ".encode(), np.uint8).astype(np.uint32)
+    """Hashed n-gram counts of the folded text."""
+    return counts_of(folded(text))
+
+
+def counts_of(letters: bytes) -> np.ndarray:
+    codes = np.frombuffer(b" " + letters + b" ", np.uint8).astype(np.uint32)
     total = np.zeros(BUCKETS, np.float32)
     grams = codes
     for size in range(1, max(SIZES) + 1):
@@ -71,7 +86,7 @@ def fit(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", learn: Column | None = None,
     per_language: int = PER_LANGUAGE, most_languages: int = MOST_LANGUAGES, centroids: int = CENTROIDS,
 ) -> dict:
-    """The model: names of the languages, the centroids of each, inverse document frequencies.
+    """The model: names of the languages, the centroids of each, inverse document frequencies, least cosines.
 
     ``learn`` picks rows by the columns named. One task clusters one language; the driver
     gets document frequencies and centroids only.
@@ -86,9 +101,10 @@ def fit(
     ).where(F.col("at") <= per_language)
     upto = {r.lang: r.upto for r in first.groupBy("lang").agg(F.max("order").alias("upto")).collect()}
     if not upto:
-        return {"names": [], "centroids": np.zeros((0, BUCKETS), np.float32), "owner": [], "idf": np.ones(BUCKETS, np.float32)}
+        return {"names": [], "centroids": np.zeros((0, BUCKETS), np.float32), "owner": [], "idf": np.ones(BUCKETS, np.float32),
+                "least": np.zeros((0, len(LENGTHS)))}
     limit = F.create_map(*(F.lit(x) for pair in upto.items() for x in pair))
-    sample = rows.where(F.col("lang").isin(frequent) & (F.col("order") <= limit[F.col("lang")]))
+    sample = checkpointed(rows.where(F.col("lang").isin(frequent) & (F.col("order") <= limit[F.col("lang")])))
 
     def make():
         def function(texts):
@@ -118,32 +134,68 @@ def fit(
     middles = vectors.groupBy("lang").applyInPandas(cluster, "lang string, middle binary").collect()
     middles.sort(key=lambda r: (r.lang, r.middle))
     names = sorted({r.lang for r in middles})
-    return {
+    model = {
         "names": names, "owner": [names.index(r.lang) for r in middles], "idf": idf,
         "centroids": np.array([np.frombuffer(r.middle, np.float32) for r in middles]),
     }
+    return model | {"least": least_cosines(sample, model)}
+
+
+def least_cosines(sample: DataFrame, model: dict) -> np.ndarray:
+    """For each language and each of ``LENGTHS`` the cosine below which a text is rejected."""
+    sent = sample.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        names, owner = sent.value["names"], np.array(sent.value["owner"], np.int64)
+        middles, idf = sent.value["centroids"], sent.value["idf"]
+
+        def one(text: bytes | None, lang: str) -> list[float | None]:
+            letters, own = folded(text or b""), middles[owner == names.index(lang)]
+            cut = [counts_of(letters[:n]) for n in LENGTHS if len(letters) >= n]
+            near = (weighted(np.array(cut), idf) @ own.T).max(axis=1).tolist() if cut else []
+            return near + [None] * (len(LENGTHS) - len(near))
+
+        return lambda texts, kept: [[one(t, lang) for t, lang in zip(texts, kept[0].to_pylist(), strict=True)]]
+
+    marks = map_texts(sample, ["lang"], "text", "near array<double>", make, with_kept=True)
+    at = [F.col("near")[i] for i in range(len(LENGTHS))]
+    low = marks.groupBy("lang").agg(
+        F.array(*(F.when(F.count(x) >= ENOUGH, F.percentile(x, F.lit(QUANTILE))) for x in at)).alias("low"),
+    ).collect()
+    least = np.zeros((len(model["names"]), len(LENGTHS)))
+    for r in low:
+        # A length that few texts reach is judged like the one before it.
+        for i, x in enumerate(r.low):
+            least[model["names"].index(r.lang), i:] = least[model["names"].index(r.lang), i - 1] if x is None and i else SLACK * (x or 0)
+    return least
 
 
 def identify(
     docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), text: str = "text", farthest: float = FARTHEST,
 ) -> DataFrame:
-    """``keep``, lang_pred, score (cosine with the nearest centroid, 0 to 1) and rejected of every row."""
+    """``keep``, lang_pred, score (cosine with the nearest centroid, 0 to 1) and rejected of every row.
+
+    ``farthest`` bounds the distance whatever the sample says.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         names, owner = sent.value["names"], np.array(sent.value["owner"], np.int64)
-        middles, idf = sent.value["centroids"], sent.value["idf"]
+        middles, idf, least = sent.value["centroids"], sent.value["idf"], sent.value["least"]
 
         def function(texts):
-            named, scores = [NONE] * len(texts), np.zeros(len(texts))
+            named, scores, far = [NONE] * len(texts), np.zeros(len(texts)), [True] * len(texts)
             usable = [i for i, t in enumerate(texts) if names and t and letter(t.decode(errors="replace"))]
             for at in range(0, len(usable), TOGETHER):
                 part = usable[at:at + TOGETHER]
-                near = weighted(np.array([counts(texts[i]) for i in part]), idf) @ middles.T
+                letters = [folded(texts[i]) for i in part]
+                near = weighted(np.array([counts_of(x) for x in letters]), idf) @ middles.T
                 best = np.argmax(near, axis=1)
-                for i, b, row in zip(part, best.tolist(), near, strict=True):
+                reached = np.searchsorted(LENGTHS, [len(x) for x in letters], side="right")
+                for i, b, n, row in zip(part, best.tolist(), reached.tolist(), near, strict=True):
                     named[i], scores[i] = names[owner[b]], min(1.0, max(0.0, float(row[b])))
-            return [named, scores, [n == NONE or 1 - s > farthest for n, s in zip(named, scores.tolist(), strict=True)]]
+                    far[i] = 1 - scores[i] > farthest or n > 0 and scores[i] < least[owner[b], n - 1]
+            return [named, scores, [bool(x) for x in far]]
 
         return function
 

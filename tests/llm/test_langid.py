@@ -33,3 +33,24 @@ def test_empty_and_nothing_to_learn(spark):
     one = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     found = langid.identify(one, langid.fit(one, learn=F.lit(True))).first()
     assert (found.lang_pred, found.rejected) == ("und", True)
+
+
+def test_what_was_not_learned_is_rejected(spark):
+    """Unlearned scripts, an unlearned language and gibberish go; held-out documents stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs, learn=queries.remainder(4) != 2)
+    foreign = [
+        "Все люди рождаются свободными и равными в своём достоинстве и правах и наделены разумом и совестью",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+        "يولد جميع الناس أحراراً متساوين في الكرامة والحقوق وقد وهبوا عقلاً وضميراً",
+        "xqzv kjwq pfgh zxcvb qwrtp lkjhg mnbvc zzxq wvkj qpfx hjkl vbnm qwxz",
+    ]
+    given = spark.createDataFrame([(i, t * n) for i, t in enumerate(foreign) for n in (1, 5, 40)], "doc_id long, text string")
+    found = langid.identify(given, model).collect()
+    assert all(r.rejected for r in found), found
+    held = docs.where(queries.remainder(4) == 2)
+    short = held.selectExpr("doc_id", "substring(text, 1, 60) as text")
+    for rows in (held, short):
+        stay = langid.identify(rows.where(F.col("text").rlike(r"\p{L}")), model).collect()
+        assert sum(r.rejected for r in stay) <= 0.01 * len(stay)
