@@ -2,12 +2,15 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next one's ``docs``. All but the last return the columns of ``docs``.
+Further columns may have any names. Names that differ in case only (``LANG`` beside ``lang``) are
+told apart; Spark reads and writes such Parquet files only with spark.sql.caseSensitive.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +18,28 @@ from pyspark.sql import functions as F
 
 from demandlens.llm import bpe, langid, line_index, simhash, wu_manber
 
+#: Columns that stages read by name.
+KNOWN = ("doc_id", "text", "lang", "n_chars")
 
+
+def any_columns(stage):
+    """The stage with further columns named by position meanwhile, so that they cannot clash with results."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inside = docs.toDF(*(c if c in KNOWN else f"column{i}" for i, c in enumerate(docs.columns)))
+        return stage(spark, inside, sf_dir).toDF(*docs.columns)
+
+    return run
+
+
+@any_columns
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or far from every language, go. Learns from the languages given."""
     found = langid.identify(docs, langid.fit(docs), tuple(docs.columns))
     return found.where("not rejected").select(*docs.columns)
 
 
+@any_columns
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A line that stands in several documents stays in the first one only."""
     found = line_index.dedup_lines(docs, tuple(docs.columns))
@@ -29,11 +47,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
 
 
+@any_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, and of those none with 0.8 of its five-word shingles in common with an earlier one."""
     return simhash.one_of_each(docs, alike=0.8).select(*docs.columns)
 
 
+@any_columns
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

@@ -80,3 +80,22 @@ def test_each_stage_keeps_columns_and_takes_empty_tables(spark, folder):
     lines = corpus_pipeline.lines(spark, docs.where("text is not null"), folder)
     assert all(r.n_chars == len(r.text) for r in lines.collect())
     assert corpus_pipeline.tokens(spark, docs.limit(0), folder).count() == 0
+
+
+def test_further_columns_may_be_named_like_results(spark, folder):
+    names = ["score", "rejected", "spans", "kept_text", "n_lines", "items_0", "__mark", "LANG", "Text"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.toDF(*docs.columns).selectExpr("*", *(f"{i} + coalesce(doc_id, 0) as `{n}`" for i, n in enumerate(names)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, folder)
+        assert found.columns == docs.columns, name
+        rows = found.collect()
+        assert rows and all(tuple(r)[5:] == tuple(i + r[0] for i in range(len(names))) for r in rows), name
+    assert corpus_pipeline.tokens(spark, docs, folder).count() == docs.count()
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        docs.write.parquet(f"{folder}/wide/documents.parquet")
+        spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{folder}/wide/benchmark.parquet")
+        assert sorted(r.doc_id for r in corpus_pipeline.run(spark, f"{folder}/wide").collect()) == sorted(plain())
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
