@@ -1,8 +1,9 @@
 """Near copies by the share of common shingles.
 
 Candidates agree in one of ``BANDS`` keys at least, each made of ``ROWS`` minima of hashed
-shingles; at a Jaccard similarity of 0.8 all but one pair in 9,000 do, above it more. The
-shingles of candidates are then compared exactly. Large groups with one key are compared with
+shingles; at a Jaccard similarity of 0.8 all but one pair in 9,000 do, above it more. Candidates
+whose minima agree in a share ``DOUBT`` below the bound (five standard deviations) are dropped, the
+shingles of the others are compared exactly. Large groups with one key are compared with
 one member at a time first, as long as that removes copies; what is left meets in pairs.
 """
 
@@ -22,6 +23,10 @@ SIZE, LEAST = 5, 0.8
 BANDS, ROWS = 30, 6
 #: Groups with one key beyond which members are not compared in pairs at once.
 SMALL = 32
+#: How far the share of equal minima, one byte of each, may be below the similarity asked for.
+DOUBT = 0.15
+#: Rows whose ids are sent to all tasks, at most, so that only their texts cross a shuffle.
+SENT = 1_000_000
 TOGETHER = 1 << 12
 MIXED = np.array([[xxhash.xxh64_intdigest(f"{k}{i}") for i in range(BANDS * ROWS)] for k in "ab"], np.uint64)
 FACTORS, ADDED = MIXED[:1].T | np.uint64(1), MIXED[1:].T
@@ -35,16 +40,18 @@ def shingles(text: bytes | None, size: int = SIZE) -> set[bytes]:
     return set(map(b" ".join, zip(*(found[i:] for i in range(size)), strict=False)))
 
 
-def band_keys(text: bytes | None, size: int = SIZE) -> list[int]:
+def signature(text: bytes | None, size: int = SIZE) -> tuple[list[int], bytes]:
+    """The keys, and the last byte of every minimum."""
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles(text, size)), np.uint64)
     if not len(hashes):
-        return []
+        return [], b""
     least = np.full(len(FACTORS), np.iinfo(np.uint64).max)
     for at in range(0, len(hashes), TOGETHER):
         part = hashes[at:at + TOGETHER]
         least = np.minimum(least, ((part ^ ADDED) * FACTORS).min(axis=1))
     keys = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+    # The low bits of a product follow the low bits of its factors only; the hash of the minimum does not.
+    return np.array(keys, np.uint64).view(np.int64).tolist(), bytes(xxhash.xxh64_intdigest(x.tobytes()) & 255 for x in least)
 
 
 def similarity(a: set[bytes], b: set[bytes]) -> float:
@@ -58,9 +65,9 @@ def later_copies(rows: DataFrame, least: float = LEAST, size: int = SIZE) -> Dat
     Of two copies the one of the larger place goes. ``node`` is a bigint, unique; ``rows`` is read several times.
     """
     def make():
-        return lambda texts: [[band_keys(t, size) for t in texts]]
+        return lambda texts: list(zip(*(signature(t, size) for t in texts), strict=True))
 
-    kept = checkpointed(map_texts(rows, ["node"], "text", "keys array<bigint>", make))
+    kept = signs = checkpointed(map_texts(rows, ["node"], "text", "keys array<bigint>, sign binary", make))
     gone = rows.sparkSession.createDataFrame([], "node bigint")
     turn = 0
     while True:
@@ -70,7 +77,7 @@ def later_copies(rows: DataFrame, least: float = LEAST, size: int = SIZE) -> Dat
         if not n_large:
             break
         pairs = large.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        found = copies(rows, pairs, least, size)
+        found = copies(rows, likely(signs, pairs, least), least, size)
         gone = gone.union(found)
         kept = checkpointed(kept.join(found, "node", "left_anti"))
         turn += 1
@@ -79,7 +86,7 @@ def later_copies(rows: DataFrame, least: float = LEAST, size: int = SIZE) -> Dat
             break
     other = members.select("key", F.col("node").alias("b"))
     pairs = members.select("key", F.col("node").alias("a")).join(other, "key").where("a < b").select("a", "b")
-    return gone.union(copies(rows, pairs, least, size))
+    return gone.union(copies(rows, likely(signs, pairs, least), least, size))
 
 
 def shared(kept: DataFrame, turn: int) -> DataFrame:
@@ -89,9 +96,26 @@ def shared(kept: DataFrame, turn: int) -> DataFrame:
     return checkpointed(at.join(groups.where("n > 1"), "key").select("key", "node", "hub", "n"))
 
 
+def likely(signs: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs whose minima agree often enough."""
+    pairs = pairs.distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(signs.select(F.col("node").alias(side), F.col("sign").alias(f"sign_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for i in (2, 3))
+            near = pa.array((a == b).mean(axis=1) >= least - DOUBT)
+            yield batch.select([0, 1]).filter(near)
+
+    return checkpointed(pairs.select("a", "b", "sign_a", "sign_b").mapInArrow(run, "a bigint, b bigint"))
+
+
 def copies(rows: DataFrame, pairs: DataFrame, least: float, size: int) -> DataFrame:
     """``node`` of the later one of every pair that is alike."""
-    pairs = pairs.distinct()
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if nodes.count() <= SENT:
+        rows = rows.join(F.broadcast(nodes), "node", "left_semi")
     for side in ("a", "b"):
         pairs = pairs.join(rows.select(*(F.col(c).alias(f"{c}_{side}") for c in ("node", "place", "text"))), F.col(side) == F.col(f"node_{side}"))
     later = F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b"))
