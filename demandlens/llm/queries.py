@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, ppm, simhash, toxicity, wu_manber
+from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, ppm, simhash, toxicity, variants, wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chat(typed))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_ppm": op2_ppm,
@@ -95,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_language": op9_language,
     "op10_chat": op10_chat,
+    "op11_variants": op11_variants,
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -185,3 +190,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+# CRC-32 byte by byte; 3988292384 and 4294967295 are the fixed values of that checksum.
+ORACLE["op11_variants"] = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), run AS (
+  SELECT doc_id, {LOWER.format("r")} AS r, count(*) AS n
+  FROM documents, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS u(r)
+  WHERE length(r) >= 7 GROUP BY ALL
+), marked AS (
+  SELECT r, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || r)) AS h, t FROM run, crc
+), sealed AS (
+  SELECT r, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2),
+    lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS c FROM marked
+), worn AS (
+  SELECT CASE WHEN c % 31 = 0 THEN left(r, (c % length(r))::BIGINT) || substr(r, (c % length(r))::BIGINT + 2) ELSE r END AS word, n FROM sealed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM worn WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), less AS (
+  SELECT word, n, p, left(word, p) || substr(word, p + 2) AS rest FROM words, unnest(range(length(word))) AS u(p)
+), near AS (
+  SELECT a.word, b.word AS near, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN less b ON b.rest = a.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM near GROUP BY word
+), form AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n FROM words w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, coalesce(form, word) AS root, form IS NULL AS done FROM form
+  UNION ALL SELECT c.word, coalesce(f.form, c.root), f.form IS NULL FROM chain c JOIN form f ON f.word = c.root WHERE NOT c.done
+)
+SELECT word, form, root, n, n_near, form_n FROM form JOIN (SELECT word, root FROM chain WHERE done) USING (word)
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,11 +77,48 @@ def map_texts(
     return rows.mapInArrow(run, schema)
 
 
+def map_slices(
+    df: DataFrame, columns: list[str], result: str,
+    make: Callable[[], Callable[..., Iterator[list]]], limit: int = SLICE_BYTES,
+) -> DataFrame:
+    """Rows of the columns in ``result`` (DDL), any number for each slice of ``df``.
+
+    ``make()`` runs once in each task and returns the function from the UTF-8 texts of the last
+    of ``columns`` and the Arrow arrays of the others to lists of arrays or lists, one each column.
+    """
+    schema = T.StructType.fromDDL(result)
+    kinds = [to_arrow(f.dataType) for f in schema]
+    rows = pick(df, *columns).toDF(*(f"c{i}" for i in range(len(columns))))
+    last = f"c{len(columns) - 1}"
+    rows = rows.withColumn(last, F.col(last).cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in batches:
+            for part in slices(batch, len(columns) - 1, limit):
+                texts = part.column(len(columns) - 1).cast(pa.large_binary()).to_pylist()
+                for made in function(texts, *part.columns[:-1]):
+                    arrays = [x.cast(k) if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(made, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share; unset, a temporary one on a single machine only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder, and a folder of one machine is none that executors share")
+    return tempfile.mkdtemp()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows as files in the folder of spark.checkpoint.dir, which all executors share."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    """The rows as files in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
