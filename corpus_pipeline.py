@@ -2,13 +2,14 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next one's ``docs``. All but the last return the columns of ``docs``.
-Further columns may have any names. Names that differ in case only (``LANG`` beside ``lang``) are
+Null and empty texts go in the first stage, which finds no letter in them; a null id is kept like any other
+and is never the smallest of a group; equal rows count once from the third stage on; an empty table gives an
+empty one. Further columns may have any names. Names that differ in case only (``LANG`` beside ``lang``) are
 told apart; Spark reads and writes such Parquet files only with spark.sql.caseSensitive.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import wraps
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.llm import bpe, langid, line_index, simhash, wu_manber
+from demandlens.llm.rows import shared_folder
 
 #: Columns that stages read by name.
 KNOWN = ("doc_id", "text", "lang", "n_chars")
@@ -49,8 +51,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @any_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, and of those none with 0.8 of its five-word shingles in common with an earlier one."""
-    return simhash.one_of_each(docs, alike=0.8).select(*docs.columns)
+    """One document stays of each group of SimHash fingerprints, over three-word shingles, that 3 differing bits or fewer connect."""
+    return simhash.one_of_each(docs, size=simhash.SHINGLE, bound=simhash.BOUND)
 
 
 @any_columns
@@ -77,8 +79,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``; results between stages lie in the folder of spark.checkpoint.dir."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    base = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{number}-{name}")
