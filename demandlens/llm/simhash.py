@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlens.llm.components import components
-from demandlens.llm.jaccard import later_copies
 from demandlens.llm.rows import checkpointed, map_texts
 
 SHINGLE, BOUND, SEED = 3, 3, 42
@@ -183,38 +182,25 @@ def simhash(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
 
 def one_of_each(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, bound: int = BOUND,
-    alike: float | None = None,
 ) -> DataFrame:
-    """All columns of the one row that stays of each component: smallest id, nulls last, then smallest text hash.
+    """All columns of the one row that stays of each component: smallest id, nulls last, then smallest row hash.
 
-    Equal rows count once. With ``alike``, of those rows none stays that has this Jaccard similarity of
-    five-word shingles, or more, with an earlier one: SimHash alone links few copies below about 0.98.
+    Equal rows count once. Columns are worked on by position, so they may have any names.
     """
-    marked = docs.withColumn("__mark", F.xxhash64(*docs.columns))
-    prints = checkpointed(fingerprints(marked, (doc_id, "__mark"), text, size))
-    order = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col("__mark"))
-    rows = prints.groupBy(doc_id, "__mark").agg(F.first("fingerprint").alias("fingerprint"), F.count("*").alias("n"))
-    rows = checkpointed(rows)
-    repeated = rows.where("n > 1").limit(1).count()
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    id_at, text_at = (names[docs.columns.index(c)] for c in (doc_id, text))
+    marked = docs.toDF(*names).withColumn("mark", F.xxhash64(*names))
+    prints = checkpointed(fingerprints(marked, (id_at, "mark"), text_at, size))
+    order = F.struct(F.col(id_at).isNull(), F.col(id_at).alias("id"), F.col("mark"))
+    rows = checkpointed(prints.groupBy(id_at, "mark").agg(F.first("fingerprint").alias("fingerprint"), F.count("*").alias("n")))
     distinct = rows.groupBy("fingerprint").agg(F.min(order).alias("first"))
     roots = components(links(distinct.select("fingerprint"), bound), "a", "b")
     first = (
         distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
         .groupBy(F.coalesce("root", "fingerprint").alias("root")).agg(F.min("first").alias("first"))
-        .select(F.col(f"first.{doc_id}").alias("__id"), F.col("first.__mark").alias("__mark"))
+        .select(F.col("first.id").alias("id"), F.col("first.mark").alias("first_mark"))
     )
-
-    def chosen(first: DataFrame) -> DataFrame:
-        same = (marked[doc_id].eqNullSafe(first["__id"])) & (marked["__mark"] == first["__mark"])
-        return marked.join(first, same, "left_semi")
-
-    if alike is not None:
-        node = F.xxhash64("__id", "__mark")
-        first = checkpointed(first)
-        texts = chosen(first).select(F.xxhash64(doc_id, "__mark").alias("node"), order.alias("place"), F.col(text).alias("text"))
-        gone = later_copies(texts.dropDuplicates(["node"]) if repeated else texts, alike)
-        first = checkpointed(first.withColumn("__node", node).join(gone, F.col("__node") == gone["node"], "left_anti").drop("__node"))
-    kept = chosen(first)
-    if repeated:
-        kept = kept.dropDuplicates([doc_id, "__mark"])
-    return kept.drop("__mark")
+    kept = marked.join(first, marked[id_at].eqNullSafe(first["id"]) & (marked["mark"] == first["first_mark"]), "left_semi")
+    if rows.where("n > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_at, "mark"])
+    return kept.drop("mark").toDF(*docs.columns)
