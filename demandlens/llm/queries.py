@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, ppm, simhash, toxicity, variants, wu_manber
+from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, phrases, ppm, simhash, toxicity, variants, wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,10 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_ppm": op2_ppm,
@@ -100,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_chat": op10_chat,
     "op11_variants": op11_variants,
+    "op12_phrases": op12_phrases,
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -226,3 +231,30 @@ WITH RECURSIVE crc AS (
 )
 SELECT word, form, root, n, n_near, form_n FROM form JOIN (SELECT word, root FROM chain WHERE done) USING (word)
 """
+
+ORACLE["op12_phrases"] = f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda w: w <> '') AS w
+  FROM documents, unnest(string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS u(p)
+), phrase AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM piece, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) WHERE len(w) >= k GROUP BY ALL
+), total AS (SELECT lang, sum(a)::BIGINT AS n FROM phrase WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM phrase WHERE k > 1 AND a >= 10),
+parts AS MATERIALIZED (
+  SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS first, array_to_string(w[c + 1:], ' ') AS rest FROM candidate, unnest(range(1, k)) AS x(c)
+), known AS MATERIALIZED (SELECT lang, phrase, a FROM phrase WHERE a >= 10),
+half AS MATERIALIZED (SELECT p.*, l.a AS l FROM parts p JOIN known l ON l.lang = p.lang AND l.phrase = p.first),
+cut AS (
+  SELECT p.lang, p.phrase, p.a, p.c, p.l, r.a AS r, (1000000::HUGEINT * p.a * p.a) // (p.l::HUGEINT * r.a) AS score
+  FROM half p JOIN known r ON r.lang = p.lang AND r.phrase = p.rest
+), lowest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), inner_part AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer FROM candidate, unnest([1, 2]) AS t(i) WHERE k = 3 GROUP BY ALL
+), ranked AS (
+  SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest LEFT JOIN inner_part USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
