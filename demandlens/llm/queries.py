@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, phrases, ppm, simhash, toxicity, variants, wu_manber
+from demandlens.llm import bpe, chat, langid, licenses, line_index, minhash, ngram_join, phrases, ppm, simhash, toxicity, variants, wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,10 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_ppm": op2_ppm,
@@ -105,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op10_chat": op10_chat,
     "op11_variants": op11_variants,
     "op12_phrases": op12_phrases,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -258,3 +263,21 @@ cut AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
+
+ORACLE["op13_ngram_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i) WHERE len(w) > 0
+), size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), link AS MATERIALIZED (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), edge AS MATERIALIZED (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least AS component_id
+FROM d LEFT JOIN size USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a) USING (doc_id)
+"""
