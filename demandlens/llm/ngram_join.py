@@ -41,6 +41,8 @@ CLASS = 20
 SIEVE, OF = 2, 5
 #: Bits of a set's sketch, and rows of one side of a tile.
 SKETCH, TILE = 1024, 512
+#: Rows whose 8-byte marks are sent to all tasks, at most.
+SENT = 2_000_000
 
 
 def missing(n: int) -> int:
@@ -124,7 +126,7 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 def nodes(docs: DataFrame, left: DataFrame, size: int) -> DataFrame:
     """(node, set, n, tokens, sketch) of the distinct sets of ``left``."""
-    chosen = left.groupBy("set").agg(F.min("mark").alias("mark"))
+    chosen = checkpointed(left.groupBy("set").agg(F.min("mark").alias("mark")).select("mark"))
 
     def make():
         def run(texts: list) -> Iterator[list]:
@@ -133,10 +135,14 @@ def nodes(docs: DataFrame, left: DataFrame, size: int) -> DataFrame:
 
         return run
 
-    texts = docs.select("mark", "text").join(chosen.select("mark"), "mark", "left_semi")
+    # Marks up to the bound go to all tasks, so that texts cross no shuffle; more of them are joined.
+    marks = F.broadcast(chosen) if chosen.count() <= SENT else chosen
+    texts = docs.select("mark", "text").join(marks, "mark", "left_semi")
     found = map_slices(texts, ["text"], "set binary, n bigint, tokens array<bigint>, sketch binary", make)
-    found = found.join(chosen.select("set"), "set", "left_semi").dropDuplicates(["set"])  # equal rows, equal marks
-    return checkpointed(found.withColumn("node", F.monotonically_increasing_id()))
+    found = checkpointed(found.withColumn("node", F.monotonically_increasing_id()))
+    if found.groupBy("set").agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count():  # equal rows, equal marks
+        found = checkpointed(found.dropDuplicates(["set"]))
+    return found
 
 
 def doublings(n: int) -> set[int]:
@@ -172,7 +178,8 @@ def signatures_of(n: int, tokens: list[tuple[int, int]], rare: int, k: int) -> s
 
 def signatures(sets: DataFrame, rare: int = RARE, k: int = K) -> DataFrame:
     """(sig, node, n): the signatures that several nodes have."""
-    tokens = sets.select("node", F.explode("tokens").alias("token"))
+    # One shuffle serves the counts and the join with them.
+    tokens = sets.select("node", F.explode("tokens").alias("token")).repartition("token")
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     listed = tokens.join(shared, "token").groupBy("node").agg(F.collect_list(F.struct("df", "token")).alias("tokens"))
     given = sets.select("node", "n").join(listed, "node").where(F.size("tokens") >= F.col("n") - missing_column("n"))
