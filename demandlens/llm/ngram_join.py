@@ -54,8 +54,8 @@ def missing_column(n: str) -> Column:
     return F.expr(f"{n} - ({PERCENT} * {n} + 99) div 100")
 
 
-def token_sets(texts: list[bytes | None], size: int = SIZE) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of each text's shingles."""
+def token_sets(texts: list[bytes | None], size: int = SIZE, sieve: bool = False) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles; with ``sieve`` the first sieve's share of them."""
     words = [(t or b"").lower().split() for t in texts]
     ids, known = numbered(chain.from_iterable(words))
     every = hashes(known)[ids]
@@ -65,12 +65,12 @@ def token_sets(texts: list[bytes | None], size: int = SIZE) -> list[np.ndarray]:
     sets, at = [], 0
     for own in map(len, words):
         if own >= size:
-            found = np.unique(grams[at:at + own - size + 1])
+            found = grams[at:at + own - size + 1]
         else:
             found = every[at:at + min(own, 1)]
             for k in range(1, own):
                 found = mixed(found, every[at + k:at + k + 1])
-        sets.append(found)
+        sets.append(np.unique(found[found % np.uint64(OF) < SIEVE] if sieve else found))
         at += own
     return sets
 
@@ -101,7 +101,7 @@ def sieved(docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
 
     def make():
         def run(texts: list, ids: pa.Array) -> Iterator[list]:
-            parts = [s[s % np.uint64(OF) < SIEVE] for s in token_sets(texts, size)]
+            parts = token_sets(texts, size, sieve=True)
             rows = np.repeat(np.arange(len(parts)), list(map(len, parts)))
             yield [np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64), ids.cast(kind).take(pa.array(rows))]
 
@@ -151,12 +151,11 @@ def doublings(n: int) -> set[int]:
 
 
 def signatures_of(n: int, tokens: list[tuple[int, int]], rare: int, k: int) -> set[int]:
-    """Signatures of a set of n tokens; ``tokens`` are those that other sets have too, as (document frequency, token)."""
+    """Signatures of a set of n tokens; ``tokens`` are those that other sets have too, as (document frequency, token), in order."""
     found: set[int] = set()
     budget = missing(n) + 1 - (n - len(tokens))
     if budget <= 0 or n * (100 - PERCENT) // PERCENT == 0:  # no other set of similar size can be similar enough
         return found
-    tokens = sorted(tokens)
     for doubling in doublings(n):
         classes = max(1, (1 << doubling - 1) // CLASS)
         left, members = budget, defaultdict(list)
@@ -177,22 +176,27 @@ def signatures_of(n: int, tokens: list[tuple[int, int]], rare: int, k: int) -> s
 
 
 def signatures(sets: DataFrame, rare: int = RARE, k: int = K) -> DataFrame:
-    """(sig, node, n): the signatures that several nodes have."""
+    """(sig, node, n, own, sketch): the signatures of the nodes; ``own`` counts the tokens that no other node has."""
     # One shuffle serves the counts and the join with them.
     tokens = sets.select("node", F.explode("tokens").alias("token")).repartition("token")
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    listed = tokens.join(shared, "token").groupBy("node").agg(F.collect_list(F.struct("df", "token")).alias("tokens"))
-    given = sets.select("node", "n").join(listed, "node").where(F.size("tokens") >= F.col("n") - missing_column("n"))
+    listed = tokens.join(shared, "token").groupBy("node").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
+    given = sets.select("node", "n", "sketch").join(listed, "node").where(F.size("shared") >= F.col("n") - missing_column("n"))
+    given = given.select("node", "n", "sketch", "shared.df", "shared.token")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, n, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                sigs = list(signatures_of(n, [(t["df"], t["token"]) for t in found], rare, k))
+            for i, (node, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                df, token = (np.asarray(batch.column(c)[i].values) for c in (3, 4))
+                order = np.lexsort((token, df))
+                sigs = list(signatures_of(n, list(zip(df[order].tolist(), token[order].tolist(), strict=True)), rare, k))
                 if sigs:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sigs, pa.int64()), pa.array([node] * len(sigs)), pa.array([n] * len(sigs))], names=["sig", "node", "n"])
+                    one = batch.slice(i, 1).take(pa.array([0] * len(sigs)))
+                    own = pa.array([n - len(df)] * len(sigs), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), *one.columns[:2], own, one.column(2)],
+                                                     names=["sig", "node", "n", "own", "sketch"])
 
-    return given.mapInArrow(run, "sig bigint, node bigint, n bigint")
+    return given.mapInArrow(run, "sig bigint, node bigint, n bigint, own bigint, sketch binary")
 
 
 def similar_length(a: str, b: str) -> Column:
@@ -210,9 +214,7 @@ def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             n_a, n_b = (np.asarray(batch.column(i)) for i in (2, 3))
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for i in (4, 5))
-            need = -(-PERCENT * (n_a + n_b) // (100 + PERCENT))
-            lack_a, lack_b = (np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) for x, y in ((a, b), (b, a)))
-            yield batch.select([0, 1]).filter(pa.array((lack_a <= n_a - need) & (lack_b <= n_b - need)))
+            yield batch.select([0, 1]).filter(pa.array(may_be_similar(n_a, n_b, a, b)))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,10 +238,11 @@ def links(sets: DataFrame, entries: DataFrame, tile: int = TILE) -> DataFrame:
     """Pairs (a, b) of similar nodes that connect all that are similar."""
     found = sets.sparkSession.createDataFrame([], "a bigint, b bigint")
     roots = sets.sparkSession.createDataFrame([], "node bigint, root bigint")
-    before, turn = None, 0
+    before = None
     while True:
         at = labelled(entries, roots)
-        hub = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "root")).alias("hub")
+        # The member with the fewest tokens of its own is the one that most of a group of near copies are near to.
+        hub = F.min(F.struct((F.col("own") / F.col("n")).alias("order"), "node", "n", "root")).alias("hub")
         groups = at.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub).where("low <> high")
         rows = checkpointed(at.join(groups.select("sig", "hub"), "sig"))
         open_rows = rows.count()
@@ -251,8 +254,8 @@ def links(sets: DataFrame, entries: DataFrame, tile: int = TILE) -> DataFrame:
         found = found.union(verified(sets, ordered(apart.select("node", "hub.node"))))
         roots = components(found, "a", "b")
         # The hub has met all the others of its signature.
-        entries = rows.where("node <> hub.node").select("sig", "node", "n")
-        before, turn = open_rows, turn + 1
+        entries = rows.where("node <> hub.node").select(*entries.columns)
+        before = open_rows
     return found.union(verified(sets, ordered(tile_pairs(rows.drop("hub"), tile))))
 
 
@@ -273,37 +276,52 @@ def tile_pairs(rows: DataFrame, tile: int) -> DataFrame:
     given = rows.join(sizes, "sig")
     own = lambda of, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(of)).cast("int")
     upto = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    left = given.select("sig", own("wide", 1).alias("i"), upto("high").alias("j"), F.lit(False).alias("other"), "node", "n", "root")
-    right = given.where("root <> main").select("sig", upto("wide").alias("i"), own("high", 2).alias("j"), F.lit(True).alias("other"), "node", "n", "root")
-    dealt = left.unionByName(right).repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "other")
+    left = given.select("sig", own("wide", 1).alias("i"), upto("high").alias("j"), F.lit(False).alias("other"), "node", "n", "root", "sketch")
+    right = given.where("root <> main").select(
+        "sig", upto("wide").alias("i"), own("high", 2).alias("j"), F.lit(True).alias("other"), "node", "n", "root", "sketch")
+    dealt = left.unionByName(right).repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = []
+        rest: list[pa.RecordBatch] = []
+        last = None
         for batch in (b for b in batches if b.num_rows):
-            new = np.stack([np.asarray(batch.column(i).cast(pa.int64())) for i in range(7)])
-            cut = np.flatnonzero((new[:3, 1:] != new[:3, :-1]).any(axis=0)) + 1
-            first, *others = np.split(new, cut, axis=1)
-            if rest and (rest[-1][:3, -1] != first[:3, 0]).any():
-                yield from crossed(np.concatenate(rest, axis=1))
-                rest = []
-            rest.append(first)
-            for group in others:
-                yield from crossed(np.concatenate(rest, axis=1))
-                rest = [group]
+            keys = np.stack([np.asarray(batch.column(i)) for i in range(3)])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                key = tuple(keys[:, start].tolist())
+                if rest and key != last:
+                    yield from crossed(pa.Table.from_batches(rest))
+                    rest = []
+                rest.append(batch.slice(start, end - start))
+                last = key
         if rest:
-            yield from crossed(np.concatenate(rest, axis=1))
+            yield from crossed(pa.Table.from_batches(rest))
 
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def crossed(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs of the two sides of one tile."""
-    a, b = rows[:, rows[3] == 0], rows[:, rows[3] == 1]
-    apart = a[6][:, None] != b[6]
-    apart &= 100 * np.minimum(a[5][:, None], b[5]) >= PERCENT * np.maximum(a[5][:, None], b[5])
-    x, y = np.nonzero(apart)
-    if len(x):
-        yield pa.RecordBatch.from_arrays([pa.array(a[4][x]), pa.array(b[4][y])], names=["a", "b"])
+def crossed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs of the two sides of one tile that sizes, roots and sketches leave."""
+    node, n, root = (np.asarray(rows.column(c)) for c in ("node", "n", "root"))
+    other = np.asarray(rows.column("other"))
+    x, y = np.flatnonzero(~other), np.flatnonzero(other)
+    if not len(x) or not len(y):
+        return
+    bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+    for part in np.array_split(x, -(-len(x) // 64)):
+        a, b = np.nonzero((root[part][:, None] != root[y])
+                          & (100 * np.minimum(n[part][:, None], n[y]) >= PERCENT * np.maximum(n[part][:, None], n[y])))
+        a, b = part[a], y[b]
+        near = may_be_similar(n[a], n[b], bits[a], bits[b])
+        if near.any():
+            yield pa.RecordBatch.from_arrays([pa.array(node[a[near]]), pa.array(node[b[near]])], names=["a", "b"])
+
+
+def may_be_similar(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """False only where the sketches show more missing tokens than similar sets can have."""
+    need = -(-PERCENT * (n_a + n_b) // (100 + PERCENT))
+    lack_a, lack_b = (np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) for x, y in ((a, b), (b, a)))
+    return (lack_a <= n_a - need) & (lack_b <= n_b - need)
 
 
 def similar_documents(
