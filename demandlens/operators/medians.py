@@ -27,33 +27,46 @@ def value_bucket(value: str) -> Column:
     return F.when(F.col(value) == 0, F.lit(0.0)).otherwise(F.signum(value) * step)
 
 
-def summarize_with_median(
+def median_state(
     rows: DataFrame,
     keys: list[str],
     value: str,
-    median: str,
     counts: dict[str, Column] | None = None,
     lowest: dict[str, str] | None = None,
     highest: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Per ``keys``: the lower median of ``value``, counts, minima and maxima.
+    """Rows per ``keys`` and value bucket, with counts, minima and maxima: a histogram that adds up.
 
-    The lower median is the smallest value with at least half of the non-NULL
-    values at or below it; NULL for a group without values.
+    Kept by day, the states of any days give the summary of all of them (``summary_of_state``);
+    a day that changes is counted anew by itself.
     """
-    counts, lowest, highest = counts or {}, lowest or {}, highest or {}
-    valued = rows.withColumn("_bucket", value_bucket(value))
-    buckets = valued.groupBy(*keys, "_bucket").agg(
+    return rows.withColumn("_bucket", value_bucket(value)).groupBy(*keys, "_bucket").agg(
         F.count(value).alias("_n"),
-        *[c.alias(n) for n, c in counts.items()],
-        *[F.min(c).alias(n) for n, c in lowest.items()],
-        *[F.max(c).alias(n) for n, c in highest.items()],
+        *[c.alias(n) for n, c in (counts or {}).items()],
+        *[F.min(c).alias(n) for n, c in (lowest or {}).items()],
+        *[F.max(c).alias(n) for n, c in (highest or {}).items()],
+    )
+
+
+def summary_of_state(
+    state: DataFrame,
+    rows: DataFrame,
+    keys: list[str],
+    value: str,
+    median: str,
+    counts: list[str] = (),
+    lowest: list[str] = (),
+    highest: list[str] = (),
+) -> DataFrame:
+    """Per ``keys``: counts, minima, maxima and the exact lower median, from states that may be finer than ``keys``.
+
+    ``rows`` are the rows that the state counts. Only those in the bucket of the middle one are looked at.
+    """
+    buckets = state.groupBy(*keys, "_bucket").agg(
+        *[F.sum(n).alias(n) for n in ("_n", *counts)], *[F.min(n).alias(n) for n in lowest], *[F.max(n).alias(n) for n in highest],
     )
     summary = buckets.groupBy(*keys).agg(
-        F.sum("_n").alias("_values"),
-        *[F.sum(n).alias(n) for n in counts],
-        *[F.min(n).alias(n) for n in lowest],
-        *[F.max(n).alias(n) for n in highest],
+        *[F.sum(n).alias(n) for n in counts], *[F.min(n).alias(n) for n in lowest], *[F.max(n).alias(n) for n in highest],
     )
     running = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket"))
     whole = F.sum("_n").over(Window.partitionBy(*keys))
@@ -63,7 +76,7 @@ def summarize_with_median(
         .select(*keys, "_bucket", (F.col("_upto") - F.col("_n")).alias("_before"), "_values")
     )
     inside = (
-        valued.select(*keys, value, "_bucket")
+        rows.where(F.col(value).isNotNull()).select(*keys, value).withColumn("_bucket", value_bucket(value))
         .join(middle, [*keys, "_bucket"])
         .groupBy(*keys, value, "_before", "_values").agg(F.count("*").alias("_n"))
     )
@@ -73,4 +86,23 @@ def summarize_with_median(
         .where(2 * F.col("_upto") >= F.col("_values"))
         .groupBy(*keys).agg(F.min(value).alias(median))
     )
-    return summary.drop("_values").join(medians, keys, "left")
+    return summary.join(medians, keys, "left")
+
+
+def summarize_with_median(
+    rows: DataFrame,
+    keys: list[str],
+    value: str,
+    median: str,
+    counts: dict[str, Column] | None = None,
+    lowest: dict[str, str] | None = None,
+    highest: dict[str, str] | None = None,
+) -> DataFrame:
+    """Per ``keys``: the lower median of ``value``, counts, minima and maxima.
+
+    The lower median is the smallest value with at least half of the non-NULL
+    values at or below it; NULL for a group without values.
+    """
+    counts, lowest, highest = counts or {}, lowest or {}, highest or {}
+    state = median_state(rows, keys, value, counts, lowest, highest)
+    return summary_of_state(state, rows, keys, value, median, list(counts), list(lowest), list(highest))

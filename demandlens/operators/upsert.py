@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandlens.sources.parts import Parts, bucket, values
+
 
 def scd1_upsert(
     target: DataFrame,
@@ -42,3 +44,19 @@ def first_load(source: DataFrame, key: str, attributes: list[str], at: datetime
     return source.select(
         key, *attributes, stamp.alias("created_date"), stamp.alias("updated_date")
     )
+
+
+def upsert_parts(
+    table: Parts, source: DataFrame, key: str, attributes: list[str], buckets: int, at: datetime | None = None, batch: int = 0,
+) -> DataFrame:
+    """Take over ``source`` into a table kept by buckets of ``key``; only buckets with incoming keys are read and replaced.
+
+    A key's bucket is a function of the key, so no key of another bucket can match.
+    """
+    incoming = source.withColumn(table.by, bucket(key, buckets))
+    if not table.exists():
+        first = first_load(incoming, key, [*attributes, table.by], at)
+        return table.replace(first, batch=batch)
+    touched = values(incoming, table.by)
+    merged = scd1_upsert(table.read(touched).drop(table.by), source, key, attributes, at)
+    return table.replace(merged.withColumn(table.by, bucket(key, buckets)), touched, batch)

@@ -65,22 +65,25 @@ def roles(spark: SparkSession, taxonomy: rules.Roles = rules.Roles(), at: dateti
     return with_audit(seed.select(surrogate_key("name").alias("role_id"), "name"), at)
 
 
-def skills(latest: DataFrame, at: datetime | None = None) -> DataFrame:
-    """One row per lowercased slug; a slug in both lists is a technology.
-
-    ``max`` picks that, as the two category names sort that way.
-    """
+def skill_uses(latest: DataFrame) -> DataFrame:
+    """(slug, category): the tags of the postings as they stand, slugs lowercased."""
     def tagged(column: str, category: str) -> Column:
         named = F.transform(column, lambda slug: F.struct(slug.alias("slug"), F.lit(category).alias("category")))
         return F.coalesce(named, F.array().cast("array<struct<slug:string,category:string>>"))
 
     both = F.concat(tagged("technology_slugs", rules.TECHNOLOGY), tagged("keyword_slugs", rules.METHODOLOGY))
-    slugs = (
-        latest.select(F.inline(both))
-        .where(F.col("slug").isNotNull())
-        .groupBy(F.lower("slug").alias("slug"))
-        .agg(F.max("category").alias("category"))
-    )
+    tags = latest.select(*[c for c in ("sign",) if c in latest.columns], F.inline(both)).where(F.col("slug").isNotNull())
+    return tags.withColumn("slug", F.lower("slug"))
+
+
+def skills(latest: DataFrame, at: datetime | None = None) -> DataFrame:
+    """One row per lowercased slug; a slug in both lists is a technology."""
+    return skills_of_uses(skill_uses(latest), at)
+
+
+def skills_of_uses(uses: DataFrame, at: datetime | None = None) -> DataFrame:
+    """The dimension of the (slug, category) rows; ``max`` prefers a technology, as the two category names sort that way."""
+    slugs = uses.groupBy("slug").agg(F.max("category").alias("category"))
     dim = slugs.select(
         surrogate_key("slug").alias("skill_id"),
         slug_to_name("slug").alias("name"),
@@ -98,7 +101,11 @@ def certifications(staging: DataFrame, at: datetime | None = None) -> DataFrame:
 
     Counted per spelling first, so the second step only sees distinct spellings.
     """
-    spellings = staging.groupBy("cert_name", "cert_provider").agg(F.count("*").alias("n"))
+    return certifications_of_uses(staging.groupBy("cert_name", "cert_provider").agg(F.count("*").alias("n")), at)
+
+
+def certifications_of_uses(spellings: DataFrame, at: datetime | None = None) -> DataFrame:
+    """The dimension of the (cert_name, cert_provider, n) rows."""
     dim = (
         spellings.groupBy(surrogate_key(F.lower("cert_name")).alias("cert_id"))
         .agg(F.min(F.struct(-F.col("n"), "cert_name", "cert_provider")).alias("best"))

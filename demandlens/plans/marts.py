@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlens.functions.keys import mart_key, with_business_date
-from demandlens.operators.medians import summarize_with_median
+from demandlens.operators.medians import median_state, summary_of_state
 from demandlens.operators.tags import tag_counts
 
 DAY_KEYS = ["posting_date", "industry"]
@@ -61,14 +61,25 @@ def cert_daily(lines: DataFrame, certs: DataFrame, as_of: date | None = None) ->
     return _mart(daily, "cert_daily_id", "cert_name", F.col("cert_provider"), as_of)
 
 
-def role_daily(lines: DataFrame, as_of: date | None = None) -> DataFrame:
-    """Snapshot per role over all lines given; lines are one row per posting,
-    so plain counts are distinct counts."""
-    snapshot = summarize_with_median(
-        lines, ["role_name"], "avg_salary_usd", "median_salary",
+ROLE_COUNTS = ("job_postings_count", "open_roles_count")
+
+
+def role_state(lines: DataFrame, keys: tuple[str, ...] = ("posting_date", "role_name")) -> DataFrame:
+    """What role snapshots are made of, by day of posting; states of days add up."""
+    return median_state(
+        lines, list(keys), "avg_salary_usd",
         counts={"job_postings_count": F.count("*"), "open_roles_count": F.count_if("is_open")},
-        lowest={"min_salary": "min_salary_usd"},
-        highest={"max_salary": "max_salary_usd"},
+        lowest={"min_salary": "min_salary_usd"}, highest={"max_salary": "max_salary_usd"},
+    )
+
+
+def role_daily(lines: DataFrame, as_of: date | None = None, state: DataFrame | None = None) -> DataFrame:
+    """Snapshot per role over all lines given; lines are one row per posting,
+    so plain counts are distinct counts. With the stored ``state`` of the lines' days the lines are read for the
+    middle value buckets only."""
+    snapshot = summary_of_state(
+        role_state(lines, ("role_name",)) if state is None else state, lines, ["role_name"], "avg_salary_usd", "median_salary",
+        ROLE_COUNTS, ["min_salary"], ["max_salary"],
     )
     stamped = with_business_date(snapshot, as_of)
     return stamped.select(

@@ -43,7 +43,7 @@ class Settings:
 
 def _store(spark: SparkSession, df: DataFrame, s: Settings, table: str, by: str | None = None) -> DataFrame:
     overwrite(df, s.path(table), by)
-    return read_table(spark, s.path(table))
+    return read_table(spark, s.path(table), df.schema)  # an empty table has no file that tells its columns
 
 
 def _companies(spark: SparkSession, latest: DataFrame, s: Settings) -> DataFrame:
@@ -72,8 +72,8 @@ def refresh(spark: SparkSession, bronze: DataFrame, s: Settings) -> dict[str, Da
     """Rebuild every table under ``s.base``; companies are upserted, role snapshots kept.
 
     Texts are searched once: a dictionary's entities are stored with the latest
-    postings, a callable's come from its staged results. Raises where a table that has
-    one row per posting has more.
+    postings, a callable's come from its staged results. Raises, before lines are written, where a
+    posting would have more than one.
     """
     latest = facts.latest_postings(bronze)
     if s.extractor is None:
@@ -101,12 +101,14 @@ def refresh(spark: SparkSession, bronze: DataFrame, s: Settings) -> dict[str, Da
         named = F.struct(F.col("cert_name").alias("name"), F.col("cert_provider").alias("provider"))
         rows = latest.join(staging.groupBy("job_id").agg(F.collect_list(named).alias(FOUND)), "job_id", "left")
     found = F.coalesce(FOUND, F.array().cast(entities.ENTITIES))
+    # Dimensions with a repeated key are what could repeat a posting: they are checked before any line is written.
+    for name, key in (("companies", "company_id"), ("locations", "location_id")):
+        repeated = quality.repeated_keys(t[name], key).limit(5).collect()
+        if repeated:
+            raise ValueError(f"{name} has repeated ids, such as {[r[key] for r in repeated]}: lines would repeat postings")
     lines = posting_lines(rows, t["companies"], t["locations"], s.taxonomy, found)
     lines = _store(spark, job_posting_lines(lines, s.as_of), s, "job_posting_lines", "posting_date")
     t["job_posting_lines"] = lines
-    repeated = quality.repeated_keys(lines, "job_id").limit(5).collect()
-    if repeated:
-        raise ValueError(f"job_posting_lines has repeated ids, such as {[r['job_id'] for r in repeated]}")
     t["skill_daily"] = _store(
         spark, marts.skill_daily(lines, t["skills"], s.as_of), s, "skill_daily", "posting_date")
     t["cert_daily"] = _store(
