@@ -32,8 +32,8 @@ LONGEST, SUPPORT, INSIDE, TOP, UNKNOWN = 3, 10, 50, 2000, "und"
 SAMPLED, LOWERED = 16, 2
 #: Bits of one set of phrases, at most (16 MB), and for each phrase of it.
 MOST_BITS, BITS_EACH = 1 << 27, 16
-#: Bytes of text that a task holds as words at once; what its slices have in common is summed up before the shuffle.
-HELD = 3 << 20
+#: Bytes of text that are counted together before the shuffle.
+HELD = 8 << 20
 #: Tasks that choose the first phrases of a language before one task does.
 PARTS = 64
 BREAK = b"\n"
@@ -119,7 +119,8 @@ def count_pass(docs: DataFrame, lang: Column, passes: list[Pass], failed: dict[i
         return count
 
     rows = map_slices(ordered, ["lang", "text"], "lang string, k int, phrase string, hash bigint, n bigint", make, HELD)
-    return rows.groupBy("lang", "k", "phrase", "hash").agg(F.sum("n").alias("n"))
+    # Slices are summed up already, and most of what they count is rare: a second map-side sum would hold it all once more.
+    return rows.repartition("lang", "k", "phrase", "hash").groupBy("lang", "k", "phrase", "hash").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(lang: str, texts: list[bytes], passes: list[Pass], failed: dict[int, Bits], words: bool, longest: int) -> Iterator[list]:
