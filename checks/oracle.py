@@ -414,3 +414,6 @@ FROM lineitem GROUP BY l_returnflag""",
 WHERE location IS NOT NULL AND location_id NOT IN (SELECT location_id FROM keyed WHERE loc_continent = 'ASIA')
 GROUP BY location_id""",
 }
+# Other ways to the same results.
+ORACLE["scd1_upsert_buckets"] = ORACLE["scd1_upsert"]
+ORACLE["role_daily_from_days"] = ORACLE["role_daily"]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -15,12 +17,13 @@ from demandlens.functions.text import role_name, slug_to_name
 from demandlens.operators import entities
 from demandlens.operators.latest import latest_by_key
 from demandlens.operators.paths import conform
-from demandlens.operators.upsert import scd1_upsert
+from demandlens.operators.upsert import scd1_upsert, upsert_parts
 from demandlens.plans import dims, facts, insight, marts, quality, semantic
 from demandlens.plans import lines as lines_plan
 from demandlens.schema import BRONZE
 from demandlens.sources import landing
 from demandlens.sources import order_feed as feed
+from demandlens.sources.parts import Parts
 
 AS_OF = date(2001, 8, 1)
 EARLIER = date(2000, 8, 1)
@@ -198,22 +201,34 @@ def upsert_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumns({c: F.to_date(c) for c in ("created_date", "updated_date")})
 
 
-def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored customers outside one segment; updates for those with a balance, of
-    which the richer ones changed segment."""
+def _segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers outside one segment, as stored; updates for those with a balance, of which the richer ones changed segment."""
     customer = feed.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("industry"), "c_acctbal",
     )
-    then = F.lit(datetime(2001, 1, 1)).cast("timestamp")
-    stored = customer.where(F.col("industry") != INDUSTRY).select(
-        "company_id", "name", "industry", then.alias("created_date"), then.alias("updated_date")
-    )
+    stored = customer.where(F.col("industry") != INDUSTRY).select("company_id", "name", "industry")
     moved = F.when(F.col("c_acctbal") > 5000, "MOVED").otherwise(F.col("industry"))
-    updates = customer.where("c_acctbal >= 0").select("company_id", "name", moved.alias("industry"))
+    return stored, customer.where("c_acctbal >= 0").select("company_id", "name", moved.alias("industry"))
+
+
+def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One join over the whole table."""
+    stored, updates = _segments(spark, sf_dir)
+    then = F.lit(datetime(2001, 1, 1)).cast("timestamp")
+    stored = stored.withColumns({"created_date": then, "updated_date": then})
     merged = scd1_upsert(stored, updates, "company_id", ["name", "industry"], datetime(2001, 8, 1))
-    day = {c: F.to_date(c) for c in ("created_date", "updated_date")}
-    return merged.withColumns(day)
+    return merged.withColumns({c: F.to_date(c) for c in ("created_date", "updated_date")})
+
+
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of a table of buckets, of which only those with incoming keys are replaced."""
+    stored, updates = _segments(spark, sf_dir)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()  # the latter on one machine only, as in tests
+    table = Parts(spark, f"{folder}/companies-{uuid.uuid4().hex}", "bucket")
+    upsert_parts(table, stored, "company_id", ["name", "industry"], 16, datetime(2001, 1, 1))
+    merged = upsert_parts(table, updates, "company_id", ["name", "industry"], 16, datetime(2001, 8, 1), 1)
+    return merged.drop("bucket").withColumns({c: F.to_date(c) for c in ("created_date", "updated_date")})
 
 
 # --- text ---------------------------------------------------------------------------
@@ -378,6 +393,12 @@ def role_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.role_daily(lines(spark, sf_dir, *ROLE_DAILY_COLUMNS), AS_OF).drop("source_system")
 
 
+def role_daily_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same snapshot out of the states of the days, as the incremental refresh keeps them."""
+    rows = lines(spark, sf_dir, *ROLE_DAILY_COLUMNS, "posting_date")
+    return marts.role_daily(rows, AS_OF, marts.role_state(rows)).drop("source_system")
+
+
 # --- insight -----------------------------------------------------------------------------
 
 def resolve_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -501,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "latest_version": latest_version,
     "scd1_upsert_nulls": upsert_nulls,
     "scd1_upsert": upsert,
+    "scd1_upsert_buckets": upsert_buckets,
     "entity_extract": entity_extract,
     "entity_staging": entity_staging,
     "extract_incremental": extract_incremental,
@@ -521,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "skill_daily": skill_daily,
     "cert_daily": cert_daily,
     "role_daily": role_daily,
+    "role_daily_from_days": role_daily_from_days,
     "resolve_windows": resolve_windows,
     "insight_filters": insight_filters,
     "filter_tag_values": filter_tag_values,
