@@ -35,7 +35,7 @@ def cases():
     items += [(None, "alpha beta gamma"), (1, "delta"), (100, None), (100, "A b A b A b A b A b A b A b"), (9, "...")]
     docs = [(i, draw(random.choice([0, 1, 5, 40, 200]))) for i in range(60)]
     docs += [(7, "alpha, BETA\n gamma delta"), (8, None), (8, ""), (None, "a b a b a b a b a b a b"), (9, "a-b " * 40)]
-    docs += [(70 + i, draw(12) + ". " + (t or "").upper() + "!" + draw(7)) for i, (_, t) in enumerate(items)]
+    docs += [(70 + (200 if i is None else i), draw(12) + ". " + (t or "").upper() + "!" + draw(7)) for i, (_, t) in enumerate(items)]
     return docs, items
 
 
