@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -40,43 +39,65 @@ def text_hash(text: str | Column) -> Column:
 def dictionary_entities(text: str | Column, terms: tuple[Term, ...]) -> Column:
     """Entities with a pattern that occurs anywhere in ``text``; empty for NULL text.
 
-    One pass over each text whatever the number of terms: all patterns are one
-    automaton, in an Arrow UDF. Entities come in the order of the terms.
+    One pass over each text whatever the number of terms, in built-in functions: one regular expression shaped as a tree
+    of the patterns' characters gives the longest pattern at each place, and a constant map adds those that it begins with.
+    Entities come in the order of the terms.
     """
     check_dictionary(terms)
     if not terms:
         return F.array().cast(ENTITIES)
-    return _finder(terms)(F.col(text) if isinstance(text, str) else text)
-
-
-def _finder(terms: tuple[Term, ...]):
     clean = [(t.name.strip(), t.provider and t.provider.strip()) for t in terms]
     order = {entity: i for i, entity in enumerate(dict.fromkeys(clean))}
-    entities = list(order)
-    patterns: dict[str, set[int]] = {}
+    named: dict[str, set[int]] = {}
     for term, entity in zip(terms, clean, strict=True):
-        patterns.setdefault(term.pattern, set()).add(order[entity])
-    kind = pa.list_(pa.struct([("name", pa.string()), ("provider", pa.string())]))
-    built: list = []
-
-    def find(texts: pa.Array) -> pa.Array:
-        if not built:
-            import ahocorasick
-
-            built.append(ahocorasick.Automaton())
-            for pattern, found in patterns.items():
-                if pattern:
-                    built[0].add_word(pattern, found)
-            built[0].make_automaton()
-        always = patterns.get("", set())
-        search = built[0].iter if len(built[0]) else lambda text: ()
-        rows = []
-        for text in texts.to_pylist():
-            found = set() if text is None else set(always).union(*(i for _, i in search(text)))
-            rows.append([entities[i] for i in sorted(found)])
-        return pa.array(rows, kind)
-
-    return F.arrow_udf(find, returnType=ENTITIES)
+        named.setdefault(term.pattern, set()).add(order[entity])
+    # What a pattern implies: the entities of all patterns that it begins with.
+    implied = {p: sorted(set().union(*(named.get(p[:n], ()) for n in range(len(p) + 1)))) for p in named}
+    # As JSON, each is a single constant of the plan instead of one expression per term.
+    entities = F.from_json(F.lit(json.dumps([{"name": n, "provider": p} for n, p in order])), ENTITIES)
+    always = F.from_json(F.lit(json.dumps(sorted(named.get("", ())))), "array<int>")
+    column = F.col(text) if isinstance(text, str) else text
+    found = always
+    if any(implied):
+        by_pattern = F.from_json(F.lit(json.dumps(implied)), "map<string, array<int>>")
+        places = F.regexp_extract_all(column, F.lit(longest_at_each_place(list(implied))), F.lit(1))
+        found = F.array_union(always, F.flatten(F.transform(F.array_distinct(places), lambda p: F.element_at(by_pattern, p))))
+    found = F.transform(F.array_sort(found), lambda i: F.element_at(entities, i + 1))
+    return F.when(column.isNull(), F.array()).otherwise(found).cast(ENTITIES)
+
+
+def longest_at_each_place(patterns: list[str]) -> str:
+    """A regular expression whose group 1 is the longest of ``patterns`` that begins at a place; empty ones are left out.
+
+    A match takes at most the place's character, so a pattern that begins inside another one is found too; a class of
+    first characters passes over most places at once.
+    """
+    tree: dict = {}
+    for pattern in filter(None, patterns):
+        node = tree
+        for char in pattern:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def expression(node: dict) -> str:
+        chain = ""
+        while len(node) == 1 and "" not in node:  # characters that leave no choice
+            (char, node), = node.items()
+            chain += quoted(char)
+        branches = [quoted(char) + expression(below) for char, below in node.items() if char]
+        if not branches:
+            return chain
+        either = f"(?:{'|'.join(branches)})"
+        return chain + either + ("?" if "" in node else "")
+
+    starts = f"[{''.join(map(quoted, tree))}]"
+    if any(ord(char) > 0xFFFF for char in tree):  # two code units, which a class in a lookbehind does not step over
+        return f"(?={starts})(?=({expression(tree)}))"
+    return f"{starts}(?<=(?=({expression(tree)})){starts})"
+
+
+def quoted(char: str) -> str:
+    return char if char.isascii() and char.isalnum() else f"\\x{{{ord(char):x}}}"
 
 
 def json_entities(text: str | Column, schema: StructType = CERTIFICATION_JSON) -> Column:

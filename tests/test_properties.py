@@ -1,5 +1,6 @@
 """Generated inputs against plain Python answers."""
 
+import random
 import statistics
 from datetime import date, datetime, timedelta
 
@@ -12,9 +13,11 @@ from demandlens import rules
 from demandlens.functions.dates import DATE_RANGES, resolve_window
 from demandlens.functions.rates import share_pct
 from demandlens.functions.text import classify
+from demandlens.operators.entities import dictionary_entities
 from demandlens.operators.medians import summarize_with_median
 from demandlens.operators.tags import tag_counts
 from demandlens.operators.upsert import scd1_upsert
+from demandlens.rules import Term
 
 few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -113,3 +116,23 @@ def test_role_dimension_covers_the_taxonomy(spark):
     from demandlens.plans import dims
     roles = [r["name"] for r in dims.roles(spark).collect()]
     assert sorted(roles) == sorted({label for label, _ in rules.JOB_ROLE_RULES} | {rules.OTHER_ROLE})
+
+
+def test_dictionary_equals_substring_search_on_any_characters(spark):
+    draw = random.Random(4)
+    signs = ["a", "b", "c", "\\", ".", "(", "é", "日", "😀", " ", "-", "^", "]", "\n", "$", "A"]
+    for trial in range(8):
+        patterns = dict.fromkeys("".join(draw.choices(signs, k=draw.choice([trial % 4 > 0, 1, 2, 3, 4]))) for _ in range(draw.choice([1, 5, 40])))
+        terms = tuple(Term(p, f"n{i % 17}x", "p" if i % 17 % 2 else None) for i, p in enumerate(patterns))
+        texts = [None, "", *("".join(draw.choices(signs, k=draw.choice([1, 5, 30, 200]))) for _ in range(60))]
+        docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+        for row in docs.select("id", dictionary_entities("t", terms).alias("e")).collect():
+            text = texts[row["id"]]
+            want = dict.fromkeys((t.name, t.provider) for t in terms if text is not None and t.pattern in text)
+            assert [tuple(e) for e in row["e"]] == sorted(want, key=[(t.name, t.provider) for t in terms].index)
+
+
+def test_dictionary_runs_without_python_workers(spark):
+    docs = spark.createDataFrame([("x",)], "t string")
+    plan = docs.select(dictionary_entities("t", (Term("a", "a"), Term("ab", "b"))))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "from_json" not in plan
