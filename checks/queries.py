@@ -18,7 +18,7 @@ from demandlens.operators import entities
 from demandlens.operators.latest import latest_by_key
 from demandlens.operators.paths import conform
 from demandlens.operators.upsert import scd1_upsert, upsert_parts
-from demandlens.plans import dims, facts, insight, marts, quality, semantic
+from demandlens.plans import demand_index, dims, facts, insight, marts, quality, semantic
 from demandlens.plans import lines as lines_plan
 from demandlens.schema import BRONZE
 from demandlens.sources import landing
@@ -472,6 +472,30 @@ def insight_jobs_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                               taxonomy=feed.ROLES)
 
 
+INDEXED = ("role_name", "posting_date", "industry", "skill_names", "cert_names")
+
+
+def index_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = demand_index.demand_index(lines(spark, sf_dir, *INDEXED))
+    return demand_index.skills(index, ROLE, RANGE, as_of=AS_OF, taxonomy=feed.ROLES)
+
+
+def index_cert_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = demand_index.demand_index(lines(spark, sf_dir, *INDEXED))
+    return demand_index.skills(index, ROLE, RANGE, as_of=AS_OF, taxonomy=feed.ROLES, tags="cert_names")
+
+
+def index_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = demand_index.demand_index(lines(spark, sf_dir, *INDEXED))
+    rows = lines(spark, sf_dir, *JOB_LINES)
+    return demand_index.jobs(rows, index, ROLE, RANGE, skill=SKILL, page=2, as_of=AS_OF, taxonomy=feed.ROLES)
+
+
+def index_jobs_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = demand_index.demand_index(lines(spark, sf_dir, *INDEXED))
+    return demand_index.jobs_count(index, ROLE, RANGE, skill=SKILL, as_of=AS_OF, taxonomy=feed.ROLES)
+
+
 # --- declared measures and checks ------------------------------------------------------------
 
 def measure_skill_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,6 +580,10 @@ QUERIES: dict[str, Query] = {
     "insight_jobs": insight_jobs,
     "insight_jobs_after": insight_jobs_after,
     "insight_jobs_count": insight_jobs_count,
+    "index_skills": index_skills,
+    "index_cert_trend": index_cert_trend,
+    "index_jobs": index_jobs,
+    "index_jobs_count": index_jobs_count,
     "measure_skill_window": measure_skill_window,
     "measure_role_latest": measure_role_latest,
     "measure_postings": measure_postings,

@@ -7,7 +7,7 @@ version that no longer holds (sign -1) and the one that does (sign +1). Changes
 - companies and locations that occur in a change are derived anew, and upserted by buckets;
 - bridges and the latest postings replace the buckets of changed ids, facts the batch days;
 - lines replace the days that a posting left or came to, and the days of postings whose company or
-  location row has changed; the marts and the median state follow the lines' days.
+  location row has changed; the marts, the median state and the demand index follow the lines' days.
 
 Tables are ``Parts``: parts that no change touches are neither read for the write nor written. Every table notes the
 batch it has applied, and the latest postings, which changes are computed from, are replaced last; so a batch that runs again
@@ -26,6 +26,7 @@ from demandlens.operators import entities
 from demandlens.operators.latest import latest_by_key
 from demandlens.operators.upsert import upsert_parts
 from demandlens.plans import dims, facts, marts, quality
+from demandlens.plans.demand_index import MONTH, demand_index, month_of
 from demandlens.plans.dims import version_order
 from demandlens.plans.lines import job_posting_lines, posting_lines
 from demandlens.plans.refresh import FOUND, Settings, _staging
@@ -39,7 +40,7 @@ TABLES = {
     "bridge_job_locations": BUCKET, "companies": BUCKET, "locations": BUCKET, "skill_uses": BUCKET, "cert_uses": BUCKET,
     "skills": BUCKET, "certifications": BUCKET, "job_postings": "_batch_date", "job_postings_slim": "_batch_date",
     "job_posting_lines": "posting_date", "skill_daily": "posting_date", "cert_daily": "posting_date",
-    "role_state": "posting_date", "role_daily": "business_date",
+    "role_state": "posting_date", "role_daily": "business_date", "demand_index": MONTH,
 }
 #: What lines show of a company and of a location.
 SHOWN = {"companies": ("company_id", ["name", "domain", "industry"]), "locations": ("location_id", ["country_name"])}
@@ -255,6 +256,13 @@ def _lines_and_marts(b: Batch, signed: DataFrame, every: DataFrame) -> None:
             return mart(b.read("job_posting_lines", chosen), b.read(dim), s.as_of), chosen
 
         b.replace(name, make)
+    def indexed():
+        months = values(touched.where("posting_date is not null").select(month_of("posting_date").alias(MONTH)), MONTH)
+        fresh = demand_index(b.read("job_posting_lines", [d for d in days if d is not None]))
+        old = b.read("demand_index", months)  # counts of the other days of a touched month stay
+        return fresh if old is None else without(old, touched, "posting_date").unionByName(fresh), months
+
+    b.replace("demand_index", indexed)
     b.replace("role_state", lambda: (marts.role_state(b.read("job_posting_lines", days)), days))
     b.replace("role_daily", lambda: (marts.role_daily(b.read("job_posting_lines"), s.as_of, b.read("role_state")), [s.as_of]))
 

@@ -102,11 +102,15 @@ def skills(
     certifications.
     """
     _check_role(role, taxonomy)
-    _check(sort in rules.SORTS, f"sort must be one of {rules.SORTS}, not {sort!r}")
-    _check_limit(limit)
     window = resolve_window(date_range, as_of)
     chosen = _select(lines, role, industry, window.start, window.end).select("posting_date", tags)
-    counts = tag_counts(chosen, [], tags, "name", *_half_counts(window))
+    return ranked_tags(tag_counts(chosen, [], tags, "name", *_half_counts(window)), sort, limit)
+
+
+def ranked_tags(counts: DataFrame, sort: str, limit: int) -> DataFrame:
+    """Shares, trends and ranks of (name, is_total, n, n_prior, n_recent)."""
+    _check(sort in rules.SORTS, f"sort must be one of {rules.SORTS}, not {sort!r}")
+    _check_limit(limit)
     total = counts.where("is_total").select(_total()).scalar()
     measured = (
         counts.where("NOT is_total")
@@ -422,6 +426,9 @@ def jobs_count(
     """Number of postings and pages behind ``jobs``; at least one page."""
     _check_limit(page_size, "page_size")
     chosen = _drill_down(lines, role, skill, certificate, industry, date_range, as_of, taxonomy)
-    total = chosen.agg(F.count("*").alias("total"))
+    return pages_of(chosen.agg(F.count("*").alias("total")), page_size)
+
+
+def pages_of(total: DataFrame, page_size: int) -> DataFrame:
     pages = F.greatest(F.lit(1), F.ceil(F.col("total") / page_size)).cast("long")
     return total.select("total", F.lit(page_size).alias("page_size"), pages.alias("total_pages"))

@@ -16,6 +16,7 @@ from demandlens import rules
 from demandlens.operators import entities
 from demandlens.operators.upsert import first_load, scd1_upsert
 from demandlens.plans import dims, facts, marts, quality
+from demandlens.plans.demand_index import MONTH, demand_index
 from demandlens.plans.lines import job_posting_lines, posting_lines
 from demandlens.sources.tables import Snapshots, append, is_written, overwrite, read_table
 
@@ -109,6 +110,7 @@ def refresh(spark: SparkSession, bronze: DataFrame, s: Settings) -> dict[str, Da
     lines = posting_lines(rows, t["companies"], t["locations"], s.taxonomy, found)
     lines = _store(spark, job_posting_lines(lines, s.as_of), s, "job_posting_lines", "posting_date")
     t["job_posting_lines"] = lines
+    t["demand_index"] = _store(spark, demand_index(lines), s, "demand_index", MONTH)
     t["skill_daily"] = _store(
         spark, marts.skill_daily(lines, t["skills"], s.as_of), s, "skill_daily", "posting_date")
     t["cert_daily"] = _store(

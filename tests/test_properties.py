@@ -133,6 +133,6 @@ def test_dictionary_equals_substring_search_on_any_characters(spark):
 
 
 def test_dictionary_runs_without_python_workers(spark):
-    docs = spark.createDataFrame([("x",)], "t string")
-    plan = docs.select(dictionary_entities("t", (Term("a", "a"), Term("ab", "b"))))._jdf.queryExecution().executedPlan().toString()
+    docs = spark.range(3).selectExpr("cast(id as string) as t")
+    plan = docs.select(dictionary_entities("t", (Term("a", "a"), Term("ab", "b"))).alias("e"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "from_json" not in plan
