@@ -27,7 +27,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from checks.queries import AS_OF, QUERIES, RANGE, ROLE, SKILL, certs, latest, lines  # noqa: E402
 from demandlens.functions.dates import resolve_window  # noqa: E402
 from demandlens.operators.entities import dictionary_entities  # noqa: E402
-from demandlens.plans import dims, insight, marts  # noqa: E402
+from demandlens.plans import demand_index, dims, insight, marts  # noqa: E402
 from demandlens.plans.lines import COLUMNS  # noqa: E402
 from demandlens.rules import Term  # noqa: E402
 from demandlens.session import spark_session  # noqa: E402
@@ -113,6 +113,8 @@ def main() -> None:
     overwrite(dims.skills(latest(spark, SF_DIR, feed.TAGS)), f"{base}/skills")
     overwrite(certs(spark, SF_DIR), f"{base}/certs")
     stored = read_table(spark, f"{base}/lines")
+    overwrite(demand_index.demand_index(stored), f"{base}/index", demand_index.MONTH)
+    index = read_table(spark, f"{base}/index")
     skills, named = read_table(spark, f"{base}/skills"), read_table(spark, f"{base}/certs")
     asked = {"as_of": AS_OF, "taxonomy": feed.ROLES}
     questions = {
@@ -123,6 +125,9 @@ def main() -> None:
         "filters": lambda: insight.filters(stored, ROLE, taxonomy=feed.ROLES),
         "jobs": lambda: insight.jobs(stored, ROLE, RANGE, skill=SKILL, page=2, **asked),
         "jobs_count": lambda: insight.jobs_count(stored, ROLE, RANGE, skill=SKILL, **asked),
+        "skills_by_index": lambda: demand_index.skills(index, ROLE, RANGE, **asked),
+        "jobs_by_index": lambda: demand_index.jobs(stored, index, ROLE, RANGE, skill=SKILL, page=2, **asked),
+        "jobs_count_by_index": lambda: demand_index.jobs_count(index, ROLE, RANGE, skill=SKILL, **asked),
         "skill_daily": lambda: marts.skill_daily(stored, skills, AS_OF),
         "role_daily": lambda: marts.role_daily(stored, AS_OF),
     }

@@ -416,6 +416,7 @@ GROUP BY location_id""",
 }
 # Other ways to the same results.
 ORACLE["scd1_upsert_buckets"] = ORACLE["scd1_upsert"]
+ORACLE["measure_repeated_state"] = ORACLE["measure_repeated"]
 for _name in ("skills", "cert_trend", "jobs", "jobs_count"):
     ORACLE[f"index_{_name}"] = ORACLE[f"insight_{_name}"]
 ORACLE["role_daily_from_days"] = ORACLE["role_daily"]

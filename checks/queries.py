@@ -15,6 +15,7 @@ from demandlens.functions.dates import resolve_window, window_coverage
 from demandlens.functions.keys import mart_key, surrogate_key
 from demandlens.functions.text import role_name, slug_to_name
 from demandlens.operators import entities
+from demandlens.operators.distinct import number_keys
 from demandlens.operators.latest import latest_by_key
 from demandlens.operators.paths import conform
 from demandlens.operators.upsert import scd1_upsert, upsert_parts
@@ -528,6 +529,16 @@ def measure_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.measure(rows, "job_posting", ["role_name"])
 
 
+def measure_repeated_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same count out of bitmaps by month, status and flag, in which an order occurs many times."""
+    line = feed.table(spark, sf_dir, "lineitem")
+    rows = line.select(F.col("l_orderkey").alias("job_id"), F.col("l_returnflag").alias("role_name"),
+                       F.col("l_linestatus").alias("seniority"), F.trunc("l_shipdate", "month").alias("posting_date"))
+    numbers = number_keys(rows, "job_id", near=F.col("posting_date"))
+    state = semantic.measure_state(rows, numbers, "job_posting", ["role_name", "seniority", "posting_date"])
+    return semantic.measure_of_state(state, "job_posting", ["role_name"])
+
+
 def orphan_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Location keys of all postings that the locations seen in one region lack."""
     rows = latest(spark, sf_dir, OWNER)
@@ -588,5 +599,6 @@ QUERIES: dict[str, Query] = {
     "measure_role_latest": measure_role_latest,
     "measure_postings": measure_postings,
     "measure_repeated": measure_repeated,
+    "measure_repeated_state": measure_repeated_state,
     "orphan_locations": orphan_locations,
 }

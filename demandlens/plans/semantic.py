@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlens.functions.rates import share_pct
+from demandlens.operators.distinct import distinct_of_state, distinct_state
 
 COUNT_DISTINCT, SUM, LATEST = "count_distinct", "sum", "latest"
 
@@ -72,6 +73,32 @@ def measure(
     )
 
 
+def _distinct_measure(entity_name: str, dimensions: list[str]) -> tuple[str, str]:
+    """Name and column of the entity's distinct count."""
+    entity = ENTITIES[entity_name]
+    unknown = [d for d in dimensions if d not in entity.dimensions]
+    found = [(name, column) for name, (kind, column) in entity.measures.items() if kind == COUNT_DISTINCT]
+    if unknown or not found:
+        raise ValueError(f"{entity_name} does not declare {unknown or 'a distinct count'}")
+    return found[0]
+
+
+def measure_state(rows: DataFrame, numbers: DataFrame, entity_name: str, dimensions: list[str]) -> DataFrame:
+    """What to store of rows, such as those of a day, so that the entity's distinct count of any of them needs no rows.
+
+    ``numbers`` is the result of ``number_keys`` over the counted column.
+    """
+    _, column = _distinct_measure(entity_name, dimensions)
+    numbered = rows.select(*dimensions, column).join(numbers.select(column, "number"), column, "left")
+    return distinct_state(numbered, dimensions)
+
+
+def measure_of_state(state: DataFrame, entity_name: str, dimensions: list[str]) -> DataFrame:
+    """``measure`` of the entity's distinct count per combination of ``dimensions``, any of those that the state is kept by."""
+    name, _ = _distinct_measure(entity_name, dimensions)
+    return distinct_of_state(state, dimensions, name)
+
+
 def relate(rows: DataFrame, other: DataFrame, entity: str, other_entity: str) -> DataFrame:
     """Left join along a declared relationship; ``other`` has one row per target column."""
     for left, left_column, right, right_column, _ in RELATIONSHIPS:
