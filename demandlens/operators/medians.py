@@ -66,8 +66,8 @@ def summary_of_state(
         *[F.sum(n).alias(n) for n in ("_n", *counts)], *[F.min(n).alias(n) for n in lowest], *[F.max(n).alias(n) for n in highest],
     )
     summary = buckets.groupBy(*keys).agg(
-        *[F.sum(n).alias(n) for n in counts], *[F.min(n).alias(n) for n in lowest], *[F.max(n).alias(n) for n in highest],
-    )
+        *[F.sum(n).alias(n) for n in ("_n", *counts)], *[F.min(n).alias(n) for n in lowest], *[F.max(n).alias(n) for n in highest],
+    ).drop("_n")
     running = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket"))
     whole = F.sum("_n").over(Window.partitionBy(*keys))
     middle = (
