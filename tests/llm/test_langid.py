@@ -1,3 +1,6 @@
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from demandlens.llm import langid, queries
@@ -37,6 +40,8 @@ def test_empty_and_nothing_to_learn(spark):
 
 def test_what_was_not_learned_is_rejected(spark):
     """Unlearned scripts, an unlearned language and gibberish go; held-out documents stay."""
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("needs the documents of sf0.01")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     model = langid.fit(docs, learn=queries.remainder(4) != 2)
     foreign = [
