@@ -158,18 +158,16 @@ def extract_texts(texts: DataFrame, extractor: Extractor) -> DataFrame:
 def pending_texts(docs: DataFrame, text: str, staged: DataFrame | None = None) -> DataFrame:
     """Distinct texts of ``docs`` without a successful staged result.
 
-    Copies are merged before the shuffle and both steps use the hash, so the
-    anti join needs no exchange of its own for the texts.
+    Copies are merged before the shuffle. Without staged results the text is part of
+    the key, so that copies meet in a hash table; ``first`` of a text would sort all
+    rows with their texts. With them both steps use the hash, so the anti join needs
+    no exchange of its own for the texts.
     """
-    texts = (
-        docs.where(F.col(text).isNotNull())
-        .select(text_hash(text).alias("text_hash"), F.col(text).alias("text"))
-        .groupBy("text_hash").agg(F.first("text").alias("text"))
-    )
+    texts = docs.where(F.col(text).isNotNull()).select(text_hash(text).alias("text_hash"), F.col(text).alias("text"))
     if staged is None:
-        return texts
+        return texts.distinct()
     done = staged.where(F.col("error").isNull()).select("text_hash")
-    return texts.join(done, "text_hash", "left_anti")
+    return texts.groupBy("text_hash").agg(F.first("text").alias("text")).join(done, "text_hash", "left_anti")
 
 
 def staged_entities(docs: DataFrame, key: str, text: str, staged: DataFrame) -> DataFrame:
