@@ -21,7 +21,7 @@ from demandlens.operators.paths import conform
 from demandlens.operators.upsert import scd1_upsert, upsert_parts
 from demandlens.plans import demand_index, dims, facts, insight, marts, quality, semantic
 from demandlens.plans import lines as lines_plan
-from demandlens.schema import BRONZE
+from demandlens.schema import BRONZE, TEXT_ID
 from demandlens.sources import landing
 from demandlens.sources import order_feed as feed
 from demandlens.sources.parts import Parts
@@ -39,7 +39,10 @@ OWNER, TAGS, TEXT = feed.OWNER, feed.TAGS, feed.TEXT
 # --- shared inputs --------------------------------------------------------------
 
 def latest(spark: SparkSession, sf_dir: str, *groups: str) -> DataFrame:
-    return facts.latest_postings(feed.postings(spark, sf_dir, groups))
+    """Versions are chosen with references to texts; the texts of the chosen ones come last, so that they cross no shuffle."""
+    referring = tuple(TEXT_ID if g == TEXT else g for g in groups)
+    rows = facts.latest_postings(feed.postings(spark, sf_dir, referring))
+    return feed.with_texts(rows, sf_dir) if TEXT in groups else rows
 
 
 def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -49,8 +52,8 @@ def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     by_location = any(c in lines_plan.LOCATION_COLUMNS for c in columns)
     if by_company or by_location:
         groups.append(OWNER)
-    if "description" in columns or "cert_names" in columns:
-        groups.append(TEXT)
+    if any(c in lines_plan.TEXT_COLUMNS for c in columns):
+        groups.append(TEXT_ID)
     rows = latest(spark, sf_dir, *groups)
     owners = latest(spark, sf_dir, OWNER)
     return lines_plan.posting_lines(
@@ -60,6 +63,7 @@ def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         feed.ROLES,
         entities.dictionary_entities("description", feed.TERMS),
         columns,
+        lambda chosen: feed.with_texts(chosen, sf_dir),
     )
 
 
@@ -366,11 +370,12 @@ def posting_lines_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows by way of the star schema."""
     tagged, owned = latest(spark, sf_dir, TAGS), latest(spark, sf_dir, OWNER)
     star = lines_plan.posting_lines_from_star(
-        facts.fact_postings(latest(spark, sf_dir, OWNER, TAGS, TEXT), feed.ROLES),
+        facts.fact_postings(latest(spark, sf_dir, OWNER, TAGS, TEXT_ID), feed.ROLES),
         dims.roles(spark, feed.ROLES),
         dims.companies(owned), dims.locations(owned, feed.CONTINENT_CODES),
         facts.bridge_job_skills(tagged), dims.skills(tagged),
         facts.bridge_job_certifications(staging(spark, sf_dir)), certs(spark, sf_dir),
+        lambda joined: feed.with_texts(joined, sf_dir),
     )
     joined = {c: F.array_join(c, "|") for c in ("skill_names", "cert_names")}
     return star.withColumns(joined)

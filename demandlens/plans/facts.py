@@ -13,6 +13,7 @@ from demandlens.functions.text import role_name
 from demandlens.operators.latest import latest_by_key
 from demandlens.operators.tags import distinct_tags
 from demandlens.plans.dims import version_order
+from demandlens.schema import TEXT_ID
 
 
 def latest_postings(bronze: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def latest_postings(bronze: DataFrame) -> DataFrame:
 def fact_postings(
     latest: DataFrame, taxonomy: rules.Roles = rules.Roles(), at: datetime | None = None,
 ) -> DataFrame:
-    """Grain: one row per posting. A projection of ``latest``, no shuffle of its own."""
+    """Grain: one row per posting. A projection of ``latest``, no shuffle of its own; a reference to the text stays."""
     fact = latest.select(
         "job_id",
         surrogate_key(role_name(taxonomy)).alias("role_id"),
@@ -40,6 +41,7 @@ def fact_postings(
         "salary_currency",
         F.lit(rules.CREATED_BY).alias("created_by"),
         F.to_date("discovered_at").alias("_batch_date"),
+        *[c for c in (TEXT_ID,) if c in latest.columns],
     )
     return with_audit(fact, at)
 

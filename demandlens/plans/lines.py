@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from demandlens import rules
 from demandlens.functions.keys import company_id, location_id, with_business_date
 from demandlens.functions.text import role_name, slug_to_name
 from demandlens.operators.tags import distinct_tags
+from demandlens.schema import TEXT_ID
 
 COMPANY_COLUMNS = ("company", "company_domain", "industry")
 LOCATION_COLUMNS = ("country",)
@@ -19,6 +21,10 @@ COLUMNS = (
     "remote", "hybrid", "is_open", "min_salary_usd", "max_salary_usd", "avg_salary_usd",
     "date_posted", "posting_date", *LOCATION_COLUMNS, "skill_names", "cert_names",
 )
+TEXT_COLUMNS = ("description", "cert_names")
+
+#: Turns the ``TEXT_ID`` of rows into their ``description``.
+Texts = Callable[[DataFrame], DataFrame]
 
 
 def _industry() -> Column:
@@ -40,6 +46,7 @@ def posting_lines(
     taxonomy: rules.Roles = rules.Roles(),
     entities: Column | None = None,
     columns: tuple[str, ...] = COLUMNS,
+    texts: Texts | None = None,
 ) -> DataFrame:
     """Lines straight from the latest postings.
 
@@ -50,7 +57,9 @@ def posting_lines(
 
     Only joins that ``columns`` needs are planned. Both dimensions are left to
     Spark's size-based choice between broadcast and shuffle, as they grow with
-    the data; a company with very many postings is split by AQE.
+    the data; a company with very many postings is split by AQE. ``texts`` is for
+    rows with a reference to their text: it is called after the joins, which carry
+    the reference only, and ``entities`` are then found in what it returns.
     """
     no_tags = F.array().cast("array<string>")
     slugs = F.concat(F.coalesce("technology_slugs", no_tags), F.coalesce("keyword_slugs", no_tags))
@@ -70,7 +79,10 @@ def posting_lines(
         "company": F.col("c.name"), "company_domain": F.col("c.domain"), "industry": _industry(),
         "country": F.col("l.country_name"),
     }
-    own = [expressions.get(c, F.col(c)).alias(c) for c in columns if c not in joined]
+    late = [c for c in columns if texts is not None and c in TEXT_COLUMNS]
+    own = [expressions.get(c, F.col(c)).alias(c) for c in columns if c not in joined and c not in late]
+    if late:
+        own.append(F.col(TEXT_ID))
     needs_company = any(c in COMPANY_COLUMNS for c in columns)
     needs_location = any(c in LOCATION_COLUMNS for c in columns)
     if needs_company:
@@ -86,7 +98,11 @@ def posting_lines(
         lines = lines.alias("p").join(_company_side(companies), "company_id", "left")
     if needs_location:
         lines = lines.join(_location_side(locations), "location_id", "left")
-    return lines.select(*[joined[c].alias(c) if c in joined else F.col(c) for c in columns])
+    early = [c for c in columns if c not in late] + [TEXT_ID] * bool(late)
+    lines = lines.select(*[joined[c].alias(c) if c in joined else F.col(c) for c in early])
+    if not late:
+        return lines
+    return texts(lines).select(*[expressions.get(c, F.col(c)).alias(c) if c in late else F.col(c) for c in columns])
 
 
 def posting_lines_from_star(
@@ -98,12 +114,14 @@ def posting_lines_from_star(
     skills: DataFrame,
     bridge_certs: DataFrame,
     certs: DataFrame,
+    texts: Texts | None = None,
 ) -> DataFrame:
     """Lines from the stored star schema, for dimensions edited after the load.
 
     Tag names are collected per posting; that array is as long as the posting's
     own tag list. With the fact and the bridges bucketed on ``job_id`` the three
-    large inputs meet without an exchange.
+    large inputs meet without an exchange. With ``texts`` the fact has a reference
+    in place of the text, which is looked up after all joins.
     """
     def names(bridge: DataFrame, dim: DataFrame, key: str, column: str) -> DataFrame:
         named = bridge.select("job_id", key).join(dim.select(key, "name"), key)
@@ -125,7 +143,10 @@ def posting_lines_from_star(
         "skill_names": F.coalesce("skill_names", no_tags),
         "cert_names": F.coalesce("cert_names", no_tags),
     }
-    return lines.select(*[renamed.get(c, F.col(c)).alias(c) for c in COLUMNS])
+    if texts is None:
+        return lines.select(*[renamed.get(c, F.col(c)).alias(c) for c in COLUMNS])
+    early = [c for c in COLUMNS if c != "description"] + [TEXT_ID]
+    return texts(lines.select(*[renamed.get(c, F.col(c)).alias(c) for c in early])).select(*COLUMNS)
 
 
 def job_posting_lines(lines: DataFrame, as_of: date | None = None) -> DataFrame:

@@ -149,4 +149,6 @@ AUDIT = [
     # Fingerprint of the whole record, the last tie-break between versions.
     StructField("_row_hash", LongType()),
 ]
+#: Names a posting's text where rows carry a reference instead of the text itself.
+TEXT_ID = "text_id"
 BRONZE = StructType([StructField(n, t) for n, _, t in flatten_spec()] + AUDIT)

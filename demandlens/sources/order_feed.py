@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from demandlens.operators.paths import conform
 from demandlens.rules import Roles, Term
-from demandlens.schema import BRONZE
+from demandlens.schema import BRONZE, TEXT_ID
 
 # --- Fixed values of this feed ----------------------------------------------
 ROLES = Roles(
@@ -57,7 +58,8 @@ def postings(spark: SparkSession, sf_dir: str, groups: tuple[str, ...] = EVERYTH
     """Bronze-shaped rows; columns of groups that are not asked for are NULL.
 
     The join on the order key comes last, so that its partitioning serves the
-    per-posting steps that follow.
+    per-posting steps that follow. With ``TEXT_ID`` in place of ``TEXT`` each row has
+    one more column that names its text, for ``with_texts``.
     """
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
     rows = table(spark, sf_dir, "orders")
@@ -78,11 +80,16 @@ def postings(spark: SparkSession, sf_dir: str, groups: tuple[str, ...] = EVERYTH
         "_source": F.lit("order_feed"),
         "_row_hash": F.xxhash64("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"),
     }
-    if TEXT in groups:
+    shape = BRONZE
+    if TEXT in groups or TEXT_ID in groups:
         documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-        total = documents.agg(F.count("*").alias("n")).scalar()
-        rows = rows.join(documents, F.col("doc_id") == key % total, "left")
-        columns |= {"description": F.col("text")}
+        text_id = key % documents.agg(F.count("*").alias("n")).scalar()
+        if TEXT in groups:
+            rows = rows.join(documents, F.col("doc_id") == text_id, "left")
+            columns |= {"description": F.col("text")}
+        if TEXT_ID in groups:
+            columns |= {TEXT_ID: text_id}
+            shape = StructType([*BRONZE.fields, StructField(TEXT_ID, LongType())])
     if OWNER in groups:
         # Lookups one after another on the order rows: Spark knows each table's
         # size and picks broadcast or shuffle per lookup.
@@ -112,4 +119,18 @@ def postings(spark: SparkSession, sf_dir: str, groups: tuple[str, ...] = EVERYTH
             "technology_slugs": F.col("technology_slugs"),
             "keyword_slugs": F.col("keyword_slugs"),
         }
-    return conform(rows.select(*[c.alias(n) for n, c in columns.items()]), BRONZE)
+    return conform(rows.select(*[c.alias(n) for n, c in columns.items()]), shape)
+
+
+def with_texts(rows: DataFrame, sf_dir: str) -> DataFrame:
+    """``rows`` with the texts that their ``TEXT_ID`` names as ``description``; NULL where there is none.
+
+    Meant as the last step of a plan: narrow rows meet the documents, and no later shuffle or sort carries the texts.
+    Of several documents with one id the smallest text counts, so rows never multiply.
+    """
+    documents = table(rows.sparkSession, sf_dir, "documents")
+    texts = documents.groupBy("doc_id").agg(F.min("text").alias("_text")).withColumnRenamed("doc_id", TEXT_ID)
+    kept = [c for c in dict.fromkeys([*rows.columns, "description"]) if c != TEXT_ID]
+    return rows.join(texts, TEXT_ID, "left").select(*[
+        F.col("_text").alias(c) if c == "description" else F.col(c) for c in kept
+    ])

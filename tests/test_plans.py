@@ -1,6 +1,7 @@
 """Shape of the physical plans, and results when one key holds a third of all rows."""
 
 import random
+import re
 from collections import Counter
 from datetime import date
 
@@ -199,3 +200,47 @@ def test_pages_are_the_whole_list(spark, sf_dir):
     whole = rows.where((F.col("role_name") == q.ROLE) & q.resolve_window(q.RANGE, q.AS_OF).current(F.col("posting_date")))
     want = [r["job_id"] for r in whole.orderBy(F.desc("posting_date"), "job_id").limit(200).collect()]
     assert ids == want
+
+
+#: Queries whose rows carry, or are made from, whole texts of postings.
+TEXTED = (
+    "cert_daily", "entity_staging", "fact_postings", "index_jobs", "insight_certs", "posting_lines", "posting_lines_star",
+    "bridge_job_certs", "dim_certs", "filter_tag_values", "insight_jobs", "insight_jobs_after", "index_jobs_count",
+    "index_cert_trend", "index_skills", "insight_cert_trend",
+)
+#: Only documents go to their ids and distinct texts to their hashes.
+CARRIED = ({"doc_id", "text"}, {"text_id", "_text"}, {"text_hash", "text"})
+
+
+def moved(df):
+    """Column names that each shuffle, sort and window of a plan takes in; a page's last sort, over all of its few rows, apart."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    for node in text.split("\n\n"):
+        head = re.match(r"\(\d+\) (\w+)", node)
+        given = re.search(r"^Input \[\d+\]: \[(.*)\]", node, re.M)
+        ordered = re.search(r"^Arguments: (rangepartitioning|.*\], true, )", node, re.M)
+        if head and given and not ordered and head[1] in ("Exchange", "Sort", "SortAggregate", "Window", "WindowGroupLimit"):
+            yield head[1], {re.sub(r"#\d+L?$", "", c) for c in given[1].split(", ")}
+
+
+@pytest.mark.parametrize("key", TEXTED)
+def test_texts_cross_no_shuffle_of_postings(spark, sf_dir, key):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nodes = list(moved(QUERIES[key](spark, sf_dir)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert any("doc_id" in names or "text_id" in names for _, names in nodes)
+    for kind, names in nodes:
+        texts = names & {"text", "_text", "description", "job_description"}
+        assert not texts or any(names <= allowed for allowed in CARRIED), (kind, names)
+
+
+def test_texts_by_reference(spark, tmp_path):
+    """A reference without a text, a null text, and an id of two documents."""
+    spark.createDataFrame([(1, "one"), (2, None), (3, "b"), (3, "a"), (None, "x")], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    rows = spark.createDataFrame([(10, 1), (11, 1), (12, 2), (13, 3), (14, 9), (15, None)], "job_id long, text_id long")
+    got = feed.with_texts(rows, str(tmp_path))
+    assert got.columns == ["job_id", "description"]
+    assert dict(map(tuple, got.collect())) == {10: "one", 11: "one", 12: None, 13: "a", 14: None, 15: None}
