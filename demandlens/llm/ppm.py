@@ -71,13 +71,63 @@ def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 def counted(texts: list[bytes], learn: list[bool], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct packed symbols and how often they stand in the texts that are learned, 0 included."""
-    keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    runs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for own, part in ((1, [t for t, x in zip(texts, learn, strict=True) if x]), (0, [t for t, x in zip(texts, learn, strict=True) if not x])):
         for a, b in blocks(part):
-            new, n = np.unique(grams(part[a:b], order)[0], return_counts=True)
-            keys, at = np.unique(np.concatenate((keys, new)), return_inverse=True)
-            sums = np.bincount(at, np.concatenate((sums, own * n)), len(keys)).astype(np.int64)
-    return keys, sums
+            keys, n = np.unique(grams(part[a:b], order)[0], return_counts=True)
+            runs.append((keys, own * n))
+            # Only runs of like size meet, so a key is merged a logarithmic number of times.
+            while len(runs) > 1 and 2 * len(runs[-1][0]) > len(runs[-2][0]):
+                runs.append(merged(runs.pop(), runs.pop()))
+    while len(runs) > 1:
+        runs.append(merged(runs.pop(), runs.pop()))
+    return runs[0]
+
+
+def merged(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of two sorted runs of distinct keys."""
+    keys, sums = (np.concatenate(x) for x in zip(one, other, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, sums = keys[order], sums[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(sums, first) if len(first) else sums
+
+
+class Places:
+    """Where each of some distinct keys stands: a hash table with open addresses, at most half full."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = keys, max(1, (2 * len(keys)).bit_length())
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        left, slots = np.arange(len(keys), dtype=np.int32), self.slots(keys)
+        while len(left):
+            free = self.table[slots] < 0
+            self.table[slots[free]] = left[free]
+            again = self.table[slots] != left
+            left, slots = left[again], self.after(slots[again])
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def after(self, slots: np.ndarray) -> np.ndarray:
+        return slots + 1 & len(self.table) - 1
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The places of keys that are all there."""
+        if not len(keys):
+            return np.zeros(0, np.int32)
+        slots = self.slots(keys)
+        found = self.table[slots]
+        open_ = np.flatnonzero(self.keys[found] != keys) if len(self.keys) else np.arange(len(keys))
+        slots = slots[open_]
+        while len(open_):
+            if (found[open_] < 0).any():
+                raise KeyError("a key that is not there")
+            slots = self.after(slots)
+            found[open_] = self.table[slots]
+            wrong = self.keys[found[open_]] != keys[open_]
+            open_, slots = open_[wrong], slots[wrong]
+        return found
 
 
 def word_counts(texts: list[bytes], learn: list[bool]) -> Counter:
@@ -220,9 +270,7 @@ def score(
         spoken = right.filter(is_word)
         counts = dict(zip(spoken["word"].to_pylist(), spoken["value"].to_pylist(), strict=True))
         packed = right.filter(right["key"].is_valid())
-        keys, value = packed["key"].to_numpy(), packed["value"].to_numpy()
-        by_key = np.argsort(keys)
-        keys, value = keys[by_key], value[by_key]
+        known, value = Places(packed["key"].to_numpy()), packed["value"].to_numpy()
         n_tokens, n_known, base, scores = [], [], [], []
         for text in texts:
             split = text.split()
@@ -233,7 +281,7 @@ def score(
             base.append(float((np.log10(c + 0.1) - np.log10(tokens + 0.1 * (vocabulary + 1))).sum()))
         for a, b in blocks(texts):
             own, starts = grams(texts[a:b], order)
-            scores.append(np.add.reduceat(value[np.searchsorted(keys, own)], starts))
+            scores.append(np.add.reduceat(value[known.find(own)], starts))
         return pa.table([
             left["id"], left["learn"], pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
             pa.array(np.full(len(texts), tokens, np.int64)), pa.array(base, pa.float64()),

@@ -3,6 +3,7 @@ import os
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +94,28 @@ def test_better_than_words_alone_on_held_out_texts(spark):
         pytest.skip("needs the documents of sf0.1")
     held = queries.op2_ppm(spark, "/root/testdata/sf0.1").where("held_out").collect()
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_runs_of_like_size_meet(monkeypatch):
+    """Counts over many blocks are those of one, and no key is merged once per block."""
+    texts = [bytes([i % 7, i % 11, i]) * 5 for i in range(200)]
+    learn = [i % 3 != 0 for i in range(200)]
+    whole = ppm.counted(texts, learn, 2)
+    monkeypatch.setattr(ppm, "BLOCK_BYTES", 16)
+    taken, merged = [], ppm.merged
+    monkeypatch.setattr(ppm, "merged", lambda *runs: taken.append(sum(len(keys) for keys, _ in runs)) or merged(*runs))
+    parts = ppm.counted(texts, learn, 2)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    assert sum(taken) < 20 * 200 * 16
+    assert [len(x) for x in ppm.counted([], [], 2)] == [0, 0]
+
+
+def test_places():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 54, 5000))
+    np.random.default_rng(2).shuffle(keys)
+    places = ppm.Places(keys)
+    for asked in (keys, keys[::-1], keys[:0], np.repeat(keys[:7], 9)):
+        assert (keys[places.find(asked)] == asked).all()
+    for table in (places, ppm.Places(keys[:0])):
+        with pytest.raises(KeyError):
+            table.find(np.array([-1]))
