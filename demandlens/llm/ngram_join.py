@@ -43,6 +43,8 @@ SIEVE, OF = 2, 5
 SKETCH, TILE = 1024, 512
 #: Rows whose 8-byte marks are sent to all tasks, at most.
 SENT = 2_000_000
+#: A node's smallest signatures, so many, show where a pair with several in common has met before.
+FIRST, NONE = 16, (1 << 63) - 1
 
 
 def missing(n: int) -> int:
@@ -267,8 +269,11 @@ def ordered(pairs: DataFrame) -> DataFrame:
 def tile_pairs(rows: DataFrame, tile: int) -> DataFrame:
     """Pairs of nodes with one signature and different roots, of similar length.
 
-    Members of a signature's largest root are only held against the others; both sides are dealt to tiles.
+    Members of a signature's largest root are only held against the others; both sides are dealt to tiles. A pair comes
+    from the smallest signature that its nodes share; from others too only if that is not among the first of both.
     """
+    firsts = F.concat(F.array_sort(F.collect_list("sig")), F.array_repeat(F.lit(NONE), FIRST))
+    rows = rows.join(rows.groupBy("node").agg(F.slice(firsts, 1, FIRST).alias("first")), "node")
     parts = rows.groupBy("sig", "root").agg(F.count("*").alias("members"))
     sizes = parts.groupBy("sig").agg(F.sum("members").alias("all"), F.max(F.struct("members", "root")).alias("most"))
     sizes = sizes.select("sig", F.col("most.root").alias("main"), F.ceil(F.col("all") / tile).cast("int").alias("wide"),
@@ -276,9 +281,11 @@ def tile_pairs(rows: DataFrame, tile: int) -> DataFrame:
     given = rows.join(sizes, "sig")
     own = lambda of, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(of)).cast("int")
     upto = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    left = given.select("sig", own("wide", 1).alias("i"), upto("high").alias("j"), F.lit(False).alias("other"), "node", "n", "root", "sketch")
+    left = given.select("sig", own("wide", 1).alias("i"), upto("high").alias("j"), F.lit(False).alias("other"),
+                        (F.col("root") == F.col("main")).alias("main"), "node", "n", "root", "sketch", "first")
     right = given.where("root <> main").select(
-        "sig", upto("wide").alias("i"), own("high", 2).alias("j"), F.lit(True).alias("other"), "node", "n", "root", "sketch")
+        "sig", upto("wide").alias("i"), own("high", 2).alias("j"), F.lit(True).alias("other"),
+        F.lit(False).alias("main"), "node", "n", "root", "sketch", "first")
     dealt = left.unionByName(right).repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,20 +308,25 @@ def tile_pairs(rows: DataFrame, tile: int) -> DataFrame:
 
 
 def crossed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Pairs of the two sides of one tile that sizes, roots and sketches leave."""
+    """Pairs of the two sides of one tile that sizes, roots and sketches leave, unless a smaller signature has them."""
     node, n, root = (np.asarray(rows.column(c)) for c in ("node", "n", "root"))
-    other = np.asarray(rows.column("other"))
+    other, main = (np.asarray(rows.column(c)) for c in ("other", "main"))
     x, y = np.flatnonzero(~other), np.flatnonzero(other)
     if not len(x) or not len(y):
         return
     bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+    sig, first = rows.column("sig")[0].as_py(), np.asarray(rows.column("first").combine_chunks().flatten()).reshape(-1, FIRST)
     for part in np.array_split(x, -(-len(x) // 64)):
         a, b = np.nonzero((root[part][:, None] != root[y])
                           & (100 * np.minimum(n[part][:, None], n[y]) >= PERCENT * np.maximum(n[part][:, None], n[y])))
         a, b = part[a], y[b]
+        once = main[a] | (node[a] < node[b])  # two nodes apart from the largest root stand on both sides
+        a, b = a[once], b[once]
         near = may_be_similar(n[a], n[b], bits[a], bits[b])
-        if near.any():
-            yield pa.RecordBatch.from_arrays([pa.array(node[a[near]]), pa.array(node[b[near]])], names=["a", "b"])
+        a, b = a[near], b[near]
+        met = ((first[a][:, :, None] == first[b][:, None, :]) & (first[a] < sig)[:, :, None]).any(axis=(1, 2))
+        if not met.all():
+            yield pa.RecordBatch.from_arrays([pa.array(node[a[~met]]), pa.array(node[b[~met]])], names=["a", "b"])
 
 
 def may_be_similar(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

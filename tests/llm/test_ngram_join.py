@@ -110,6 +110,21 @@ def test_prefixes_share_a_signature():
         assert sides[0] & sides[1]
 
 
+def test_a_pair_comes_from_one_signature(spark):
+    """However many signatures two nodes share, and on whichever side they stand; none is lost where they share few."""
+    rng = random.Random(31)
+    members = {sig: set(rng.sample(range(60), 3)) for sig in range(-40, 0)}
+    members |= {sig * 10**15: {n for n in range(40) if rng.random() < 0.9} for sig in range(1, 61)}
+    root = {n: n if n % 3 else 0 for n in range(60)}
+    given = [(sig, n, 100, 0, bytes(ngram_join.SKETCH // 8), root[n]) for sig, own in members.items() for n in own]
+    df = spark.createDataFrame(given, "sig long, node long, n long, own long, sketch binary, root long")
+    expect = {(a, b) for own in members.values() for a in own for b in own if a < b and root[a] != root[b]}
+    for tile in (7, 512):
+        found = [tuple(sorted(r)) for r in ngram_join.tile_pairs(df, tile).collect()]
+        assert set(found) == expect
+        assert len(found) < 1.01 * len(expect)
+
+
 def test_long_text_and_empty_tables(spark):
     long = " ".join(f"w{i % 50_021}" for i in range(200_000))
     docs = [(1, long), (2, long + " end"), (3, "w1 " * 100_000)]
