@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from demandlens.llm.rows import checkpointed, pick
+from demandlens.llm.rows import checkpointed, pick, slices
 
 ORDER = 5
 CHUNK_BYTES = 24 << 20
@@ -138,6 +138,35 @@ def word_counts(texts: list[bytes], learn: list[bool]) -> Counter:
     return found
 
 
+class Values:
+    """What the words and contexts of a chunk are worth, held in memory once besides the given columns."""
+
+    def __init__(self, word: pa.ChunkedArray, key: pa.ChunkedArray, value: pa.ChunkedArray):
+        self.counts = {}
+        for words, n in zip(word.chunks, value.chunks, strict=True):
+            spoken = words.is_valid()
+            # As integers, the small of which are the same objects.
+            self.counts.update(zip(words.filter(spoken).to_pylist(), n.filter(spoken).cast(pa.int64()).to_pylist(), strict=True))
+        packed = key.is_valid()
+        self.known, self.value = Places(key.filter(packed).to_numpy()), value.filter(packed).to_numpy()
+
+    def base_scores(self, texts: list[bytes], learned: int, tokens: int, vocabulary: int) -> list[pa.Array]:
+        """n_tokens, n_known and base_score of each text."""
+        n_tokens, n_known, base = [], [], []
+        for text in texts:
+            split = text.split()
+            c = np.fromiter(map(self.counts.__getitem__, split), float, len(split))
+            c = np.append(c, learned)
+            n_tokens.append(len(c))
+            n_known.append(int((c > 0).sum()))
+            base.append(float((np.log10(c + 0.1) - np.log10(tokens + 0.1 * (vocabulary + 1))).sum()))
+        return [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64())]
+
+    def scores(self, texts: list[bytes], order: int) -> pa.Array:
+        own, starts = grams(texts, order)
+        return pa.array(np.add.reduceat(self.value[self.known.find(own)], starts))
+
+
 class Trie:
     """Counts by order; the orders above ``shared`` hold the contexts of this group only."""
 
@@ -265,27 +294,17 @@ def score(
     )
 
     def chunk_scores(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts, _ = columns(left)
-        is_word = right["key"].is_null()
-        spoken = right.filter(is_word)
-        counts = dict(zip(spoken["word"].to_pylist(), spoken["value"].to_pylist(), strict=True))
-        packed = right.filter(right["key"].is_valid())
-        known, value = Places(packed["key"].to_numpy()), packed["value"].to_numpy()
-        n_tokens, n_known, base, scores = [], [], [], []
-        for text in texts:
-            split = text.split()
-            c = np.fromiter(map(counts.__getitem__, split), float, len(split))
-            c = np.append(c, learned)
-            n_tokens.append(len(c))
-            n_known.append(int((c > 0).sum()))
-            base.append(float((np.log10(c + 0.1) - np.log10(tokens + 0.1 * (vocabulary + 1))).sum()))
-        for a, b in blocks(texts):
-            own, starts = grams(texts[a:b], order)
-            scores.append(np.add.reduceat(value[known.find(own)], starts))
+        pa.default_memory_pool().release_unused()  # of the chunk before: the worker is kept
+        values = Values(right["word"], right["key"], right["value"])
+        parts = [[pa.array([], kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]]
+        at = left.schema.get_field_index("text")
+        for batch in left.to_batches():
+            for part in slices(batch, at, BLOCK_BYTES):
+                texts, _ = columns(part)
+                parts.append([*values.base_scores(texts, learned, tokens, vocabulary), values.scores(texts, order)])
+        n_tokens, n_known, base, scores = map(pa.concat_arrays, zip(*parts, strict=True))
         return pa.table([
-            left["id"], left["learn"], pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-            pa.array(np.full(len(texts), tokens, np.int64)), pa.array(base, pa.float64()),
-            pa.array(np.concatenate(scores) if scores else np.zeros(0)),
+            left["id"], left["learn"], n_tokens, n_known, pa.array(np.full(len(left), tokens, np.int64)), base, scores,
         ], names=["id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     id_type = rows.schema["id"].dataType.simpleString()

@@ -1,9 +1,11 @@
 import math
 import os
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,26 @@ def test_places():
     for table in (places, ppm.Places(keys[:0])):
         with pytest.raises(KeyError):
             table.find(np.array([-1]))
+
+
+def test_values_of_a_chunk_are_held_once():
+    """Beside the columns that come with a chunk: no second copy of them, no object for each count."""
+    n = 50_000
+    words, keys = [b"word%06d" % i for i in range(n)], np.arange(n, dtype=np.int64) * 977
+    pieces = [
+        (pa.array(words[:7], pa.binary()), pa.nulls(7, pa.int64()), pa.array([1.0, 0.0, 2.0, 3.0, 1.0, 1.0, 1.0])),
+        (pa.array([*words[7:], *[None] * n], pa.binary()), pa.concat_arrays([pa.nulls(n - 7, pa.int64()), pa.array(keys)]),
+         pa.array(np.concatenate((np.full(n - 7, 2.0), -0.5 * np.arange(n))))),
+    ]
+    columns = [pa.chunked_array(c) for c in zip(*pieces, strict=True)]
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    values = ppm.Values(*columns)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert values.counts[words[3]] == 3 and values.counts[words[-1]] == 2 and len(values.counts) == n
+    assert (values.value[values.known.find(keys[::-1])] == -0.5 * np.arange(n)[::-1]).all()
+    assert held < 150 * n and pa.total_allocated_bytes() - before < 20 * n
+    found = values.base_scores([b"word000003  word000001", b""], 4, 1000, 10)
+    assert [c.to_pylist() for c in found[:2]] == [[3, 1], [2, 1]]
+    assert math.isclose(found[2][1].as_py(), math.log10(4.1 / 1001.1))
