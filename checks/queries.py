@@ -25,12 +25,15 @@ from demandlens.schema import BRONZE, TEXT_ID
 from demandlens.sources import landing
 from demandlens.sources import order_feed as feed
 from demandlens.sources.parts import Parts
+from demandlens.sources.staged import staged
 
 AS_OF = date(2001, 8, 1)
 EARLIER = date(2000, 8, 1)
 ROLE = "role_a"
 INDUSTRY = "MACHINERY"
 RANGE = "2y"
+#: Lines of so many postings are made in one plan; of more, in up to so many slices that are kept without their texts.
+POSTINGS_A_SLICE, MOST_SLICES = 500_000, 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 OWNER, TAGS, TEXT = feed.OWNER, feed.TAGS, feed.TEXT
@@ -45,6 +48,11 @@ def latest(spark: SparkSession, sf_dir: str, *groups: str) -> DataFrame:
     return feed.with_texts(rows, sf_dir) if TEXT in groups else rows
 
 
+def slices(spark: SparkSession, sf_dir: str) -> int:
+    """In how many slices lines of all postings with all columns are made."""
+    return max(1, min(MOST_SLICES, feed.table(spark, sf_dir, "orders").count() // POSTINGS_A_SLICE))
+
+
 def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Posting lines with just the column groups and joins that ``columns`` need."""
     groups = [TAGS]
@@ -368,14 +376,17 @@ def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posting_lines_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows by way of the star schema."""
-    tagged, owned = latest(spark, sf_dir, TAGS), latest(spark, sf_dir, OWNER)
+    parts = slices(spark, sf_dir)
+    keep = staged if parts > 1 else lambda made, *_: made
+    tagged = keep(latest(spark, sf_dir, TAGS).select("job_id", "technology_slugs", "keyword_slugs"), "job_id", parts)
+    owned, found = latest(spark, sf_dir, OWNER), keep(staging(spark, sf_dir))
     star = lines_plan.posting_lines_from_star(
         facts.fact_postings(latest(spark, sf_dir, OWNER, TAGS, TEXT_ID), feed.ROLES),
         dims.roles(spark, feed.ROLES),
-        dims.companies(owned), dims.locations(owned, feed.CONTINENT_CODES),
-        facts.bridge_job_skills(tagged), dims.skills(tagged),
-        facts.bridge_job_certifications(staging(spark, sf_dir)), certs(spark, sf_dir),
-        lambda joined: feed.with_texts(joined, sf_dir),
+        keep(dims.companies(owned)), keep(dims.locations(owned, feed.CONTINENT_CODES)),
+        facts.bridge_job_skills(tagged), keep(dims.skills(tagged)),
+        facts.bridge_job_certifications(found), keep(dims.certifications(found)),
+        lambda joined: feed.with_texts(keep(joined, "job_id", parts), sf_dir),
     )
     joined = {c: F.array_join(c, "|") for c in ("skill_names", "cert_names")}
     return star.withColumns(joined)
