@@ -53,8 +53,9 @@ def slices(spark: SparkSession, sf_dir: str) -> int:
     return max(1, min(MOST_SLICES, feed.table(spark, sf_dir, "orders").count() // POSTINGS_A_SLICE))
 
 
-def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Posting lines with just the column groups and joins that ``columns`` need."""
+def lines(spark: SparkSession, sf_dir: str, *columns: str, parts: int = 1) -> DataFrame:
+    """Posting lines with just the column groups and joins that ``columns`` need; in ``parts`` slices up to the texts."""
+    keep = staged if parts > 1 else lambda made, *_: made
     groups = [TAGS]
     by_company = any(c in lines_plan.COMPANY_COLUMNS for c in columns)
     by_location = any(c in lines_plan.LOCATION_COLUMNS for c in columns)
@@ -66,12 +67,12 @@ def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     owners = latest(spark, sf_dir, OWNER)
     return lines_plan.posting_lines(
         rows,
-        dims.companies(owners) if by_company else None,
-        dims.locations(owners, feed.CONTINENT_CODES) if by_location else None,
+        keep(dims.companies(owners)) if by_company else None,
+        keep(dims.locations(owners, feed.CONTINENT_CODES)) if by_location else None,
         feed.ROLES,
         entities.dictionary_entities("description", feed.TERMS),
         columns,
-        lambda chosen: feed.with_texts(chosen, sf_dir),
+        lambda chosen: feed.with_texts(keep(chosen, "job_id", parts), sf_dir),
     )
 
 
@@ -371,7 +372,8 @@ def fact_postings_slim(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lines and marts -------------------------------------------------------------------
 
 def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_plan.job_posting_lines(lines(spark, sf_dir, *lines_plan.COLUMNS), AS_OF).drop("source_system")
+    made = lines(spark, sf_dir, *lines_plan.COLUMNS, parts=slices(spark, sf_dir))
+    return lines_plan.job_posting_lines(made, AS_OF).drop("source_system")
 
 
 def posting_lines_star(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def as_text(df):
     return sorted(str(row.asDict()) for row in df.collect())
 
 
-@pytest.mark.parametrize("name", ["posting_lines_star"])
+@pytest.mark.parametrize("name", ["posting_lines", "posting_lines_star"])
 def test_slices_give_the_rows_of_one_plan(spark, tables, name, monkeypatch):
     """Tags, owners and dimensions are shuffled in jobs that have ended; what is left shuffles lines and texts only."""
     whole = q.QUERIES[name](spark, tables)
